@@ -66,10 +66,20 @@ def columns_by_type(df: DataFrame) -> dict[str, list[str]]:
 
 
 def columns_by_type_table(df: DataFrame) -> DataFrame:
-    """The same as rows (column, data_type, type_class)."""
-    types = dict(df.dtypes)
-    rows = [(c, types[c], name) for name, cols in columns_by_type(df).items() for c in cols]
-    return df.sparkSession.createDataFrame(rows, "column string, data_type string, type_class string")
+    """The same as rows (column, data_type, type_class, n_values) with the non-null counts."""
+    types, groups = dict(df.dtypes), columns_by_type(df)
+    entries = [
+        F.struct(
+            F.lit(c).alias("column"),
+            F.lit(types[c]).alias("data_type"),
+            F.lit(name).alias("type_class"),
+            F.col(f"n{df.columns.index(c)}").alias("n_values"),
+        )
+        for name, members in groups.items()
+        for c in members
+    ]
+    counts = df.agg(*[F.count(column(c)).alias(f"n{i}") for i, c in enumerate(df.columns)])
+    return counts.select(F.inline(F.array(*entries)))
 
 
 def table_shape(df: DataFrame) -> DataFrame:

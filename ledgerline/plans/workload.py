@@ -225,7 +225,7 @@ def log1p_features(clean):
 
 # --- filters ------------------------------------------------------------------------------
 NAMED = [S.KEY, "customer_name", "market", "credit_rating"]
-MARKET = "GERMANY"
+MARKET = "NATION_7"
 
 
 @query("raw")
@@ -248,7 +248,7 @@ def filter_market(raw):
     return filters.filter_equals(raw, "market", MARKET).select(*NAMED)
 
 
-@query("canonical", 4)
+@query("canonical")
 def filter_sql_predicate(clean):
     return filters.filter_sql_predicate(scorecard(clean), "label = 1 AND prediction = 1")
 
