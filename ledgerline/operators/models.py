@@ -36,6 +36,9 @@ FOLDS = 5
 PARALLEL_FITS = 4
 
 
+MODELS = ("logistic_regression", "linear_svm", "naive_bayes", "random_forest", "decision_tree")
+
+
 def estimators(label: str = S.LABEL) -> dict[str, object]:
     columns = {"featuresCol": "scaled_features", "labelCol": label}
     return {
@@ -157,7 +160,7 @@ def naive_bayes_params(data: DataFrame, features: Sequence[str], label: str = S.
 # --- comparison -----------------------------------------------------------------------
 def compare(data: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
     """Long table (model, split, metric, value): every model on train and test rows."""
-    names = list(names or estimators())
+    names = list(names or MODELS)
     frames = [scored(fit(n, data), data).withColumn("model", F.lit(n)) for n in names]
     everything = frames[0]
     for frame in frames[1:]:
@@ -173,7 +176,7 @@ def compare(data: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
 def timing(data: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
     """Seconds to fit on the train rows and to score the test rows, with the work done."""
     rows = []
-    for name in names or estimators():
+    for name in names or MODELS:
         start = time.perf_counter()
         model = fit(name, data)
         fitted = time.perf_counter()

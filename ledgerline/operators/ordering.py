@@ -7,11 +7,15 @@ it, which is a table of at most ``ranges`` rows per group.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerline.functions.sketches import sketch_quantiles
+
 RANGE = "_range"
 
 
@@ -20,12 +24,21 @@ def default_ranges(df: DataFrame) -> int:
 
 
 def add_range(df: DataFrame, order: str, ranges: int | None = None) -> DataFrame:
-    """Number of the value range that ``order`` falls into, 0 for the smallest."""
+    """Number of the value range that ``order`` falls into, 0 for the smallest.
+
+    The cut points are numbers on the driver, at most ``ranges`` of them, so
+    every use of the result sees the same ranges.
+    """
     ranges = ranges or default_ranges(df)
-    steps = [i / ranges for i in range(1, ranges)]
-    cuts = df.agg(F.array_distinct(F.percentile_approx(order, steps, 10_000))).scalar()
-    number = F.coalesce(F.size(F.filter("_cuts", lambda cut: cut < F.col(order))), F.lit(0))
-    return df.withColumn("_cuts", cuts).withColumn(RANGE, number).drop("_cuts")
+    probs = [i / ranges for i in range(1, ranges)]
+    found = sketch_quantiles(df, [], order, probs).first()
+    cuts = sorted(set(found["cuts"] or [])) if found else []
+    if not cuts:
+        return df.withColumn(RANGE, F.lit(0))
+    buckets = Bucketizer(
+        splits=[-math.inf, *cuts, math.inf], inputCol="_order", outputCol="_bucket", handleInvalid="keep"
+    ).transform(df.withColumn("_order", F.col(order).cast("double")))
+    return buckets.withColumn(RANGE, F.col("_bucket").cast("int")).drop("_order", "_bucket")
 
 
 def running_totals(

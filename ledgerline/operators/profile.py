@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerline.functions.sketches import sketch_quantiles
 from ledgerline.functions.typing import column
 from ledgerline.operators.missing import numbers
 from ledgerline.operators.quantiles import exact_quantiles
@@ -49,23 +50,15 @@ def describe(df: DataFrame, names: Iterable[str] | None = None) -> DataFrame:
     return _stats(df, list(names or numbers(df)), BASIC)
 
 
-def summary_approx(df: DataFrame, names: Iterable[str] | None = None, accuracy: int = 10_000) -> DataFrame:
+def summary_approx(df: DataFrame, names: Iterable[str] | None = None) -> DataFrame:
     """``describe`` plus quartiles from a sketch; quartiles are actual elements."""
     names = list(names or numbers(df))
-    plain = {
-        (c, stat): (f"b{i}_{j}", make(column(c)))
-        for i, c in enumerate(names)
-        for j, (stat, make) in enumerate(BASIC.items())
-    }
-    quartiles = list(QUARTILES.values())
-    row = df.agg(
-        *[agg.alias(alias) for alias, agg in plain.values()],
-        *[F.percentile_approx(column(c), quartiles, accuracy).alias(f"q{i}") for i, c in enumerate(names)],
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), column(c).cast("double").alias("value")) for c in names])
+    cuts = sketch_quantiles(df.select(F.inline(cells)), ["column"], "value", list(QUARTILES.values()))
+    rows = F.array(
+        *[F.struct(F.lit(stat).alias("stat"), F.col("cuts")[i].alias("value")) for i, stat in enumerate(QUARTILES)]
     )
-    cells = {cell: F.col(alias) for cell, (alias, _) in plain.items()}
-    for i, c in enumerate(names):
-        cells.update({(c, name): F.col(f"q{i}")[j] for j, name in enumerate(QUARTILES)})
-    return _long(row, cells)
+    return describe(df, names).unionByName(cuts.select("column", F.inline(rows)))
 
 
 def describe_exact(df: DataFrame, names: Iterable[str] | None = None) -> DataFrame:

@@ -1,9 +1,10 @@
 """Exact quantiles without sorting or gathering a column.
 
-A target rank is bracketed with approximate percentiles and exact counts until
+A target rank is bracketed with approximate quantiles and exact counts until
 few distinct values lie strictly inside its bracket; only those are ranked.
 Each narrowing pass is one scan with map-side aggregation, so the cost does not
-depend on how the values are spread, and heavy ties resolve by counting.
+depend on how the values are spread, and heavy ties resolve by counting.  The
+counts decide: a sketch that is off costs another pass, not a wrong value.
 """
 
 from __future__ import annotations
@@ -16,10 +17,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerline.functions.sketches import sketch_quantiles
 from ledgerline.functions.typing import column
 
-GRID = 1000
-ACCURACY = 10_000
+GRID = 200
+MARGIN = 2
+BROADCAST_ROWS = 100_000
 
 
 def long_values(df: DataFrame, names: Iterable[str], by: str | None = None) -> DataFrame:
@@ -47,88 +50,71 @@ class _Target:
     found: float | None = None
 
 
-def _table(df: DataFrame, targets: list[_Target]) -> DataFrame:
-    """Targets as a small table: one row per group, column and rank."""
-    schema = T.StructType(
-        [
-            T.StructField("grp", df.schema["grp"].dataType),
-            T.StructField("column", T.StringType()),
-            T.StructField("rank", T.LongType()),
-            T.StructField("before", T.LongType()),
-            T.StructField("low", T.DoubleType()),
-            T.StructField("high", T.DoubleType()),
-            T.StructField("found", T.DoubleType()),
-        ]
-    )
-    rows = [(t.grp, t.column, t.rank, t.before, t.low, t.high, t.found) for t in targets]
-    return df.sparkSession.createDataFrame(rows, schema)
+def _small(values: DataFrame, rows: list[tuple], fields: str) -> DataFrame:
+    """Driver-made rows keyed by (grp, column); broadcast while they are few."""
+    schema = T.StructType([values.schema["grp"], T.StructField("column", T.StringType())])
+    for field in T.StructType.fromDDL(fields):
+        schema = schema.add(field)
+    table = values.sparkSession.createDataFrame(rows, schema)
+    return F.broadcast(table) if len(rows) <= BROADCAST_ROWS else table
 
 
-def _inside(values: DataFrame, targets: DataFrame) -> DataFrame:
-    return values.join(targets, ["grp", "column"]).filter(
+def _inside(values: DataFrame, table: DataFrame) -> DataFrame:
+    return values.join(table, ["grp", "column"]).filter(
         (F.col("value") > F.col("low")) & (F.col("value") < F.col("high"))
     )
 
 
+def _cut_points(values: DataFrame, targets: list[_Target]) -> dict[tuple, list[float]]:
+    """Approximate quantiles inside each distinct bracket."""
+    brackets = sorted({(t.grp, t.column, t.low, t.high) for t in targets}, key=repr)
+    table = _small(values, [(*b, i) for i, b in enumerate(brackets)], "low double, high double, bracket int")
+    grid = [i / GRID for i in range(GRID + 1)]
+    found = sketch_quantiles(_inside(values, table), ["bracket"], "value", grid).collect()
+    return {brackets[row["bracket"]]: row["cuts"] for row in found}
+
+
 def _narrow(values: DataFrame, targets: list[_Target]) -> list[_Target]:
     """One round: cut points inside each bracket, then exact counts around the rank."""
-    key = ["grp", "column", "rank"]
-    grid = [i / GRID for i in range(GRID + 1)]
-    cuts = {
-        (r["grp"], r["column"], r["rank"]): r["cuts"]
-        for r in _inside(values, _table(values, targets))
-        .groupBy(*key)
-        .agg(F.percentile_approx("value", grid, ACCURACY).alias("cuts"))
-        .collect()
-    }
-    tighter = []
+    cuts = _cut_points(values, targets)
+    limits = []
     for t in targets:
-        points = cuts[t.grp, t.column, t.rank]
+        points = cuts[t.grp, t.column, t.low, t.high]
         at = int((t.rank - t.before) / t.inside * GRID)
-        low = points[at - 2] if at >= 2 else t.low
-        high = points[at + 3] if at + 3 <= GRID else t.high
-        tighter.append((t, low, high))
-    bounds = _table(values, [replace(t, found=None) for t in targets]).join(
-        values.sparkSession.createDataFrame(
-            [(t.grp, t.column, t.rank, low, high) for t, low, high in tighter],
-            T.StructType(
-                [
-                    T.StructField("grp", values.schema["grp"].dataType),
-                    T.StructField("column", T.StringType()),
-                    T.StructField("rank", T.LongType()),
-                    T.StructField("new_low", T.DoubleType()),
-                    T.StructField("new_high", T.DoubleType()),
-                ]
-            ),
-        ),
-        key,
-    )
-    v, lo, hi = F.col("value"), F.col("new_low"), F.col("new_high")
-    counts = {
-        (r["grp"], r["column"], r["rank"]): r
-        for r in _inside(values, bounds)
-        .groupBy(*key)
+        limits.append((points[max(at - MARGIN, 0)], points[min(at + 1 + MARGIN, GRID)]))
+    rows = [
+        (t.grp, t.column, t.low, t.high, i, *limit) for i, (t, limit) in enumerate(zip(targets, limits, strict=True))
+    ]
+    table = _small(values, rows, "low double, high double, target int, from double, upto double")
+    v, start, stop = F.col("value"), F.col("from"), F.col("upto")
+    counted = (
+        _inside(values, table)
+        .groupBy("target")
         .agg(
-            F.count_if(v < lo).alias("under"),
-            F.count_if(v == lo).alias("at_low"),
-            F.count_if((v > lo) & (v < hi)).alias("mid"),
-            F.count_if((v == hi) & (hi > lo)).alias("at_high"),
+            F.count_if(v < start).alias("under"),
+            F.count_if(v == start).alias("at_start"),
+            F.count_if((v > start) & (v < stop)).alias("between"),
+            F.count_if((v == stop) & (stop > start)).alias("at_stop"),
+            F.count_if(v > stop).alias("over"),
         )
         .collect()
-    }
+    )
     result = []
-    for t, low, high in tighter:
-        r = counts[t.grp, t.column, t.rank]
-        start = t.before + r["under"]
-        middle = start + r["at_low"]
-        if start <= t.rank < middle:
-            result.append(replace(t, found=low))
-        elif middle <= t.rank < middle + r["mid"]:
-            result.append(replace(t, before=middle, inside=r["mid"], low=low, high=high))
-        elif middle + r["mid"] <= t.rank < middle + r["mid"] + r["at_high"]:
-            result.append(replace(t, found=high))
-        else:
-            raise RuntimeError(f"rank {t.rank} of {t.column} fell outside its bracket")
+    for row in counted:
+        t, (start_value, stop_value) = targets[row["target"]], limits[row["target"]]
+        pieces = [
+            (row["under"], {"low": t.low, "high": start_value}),
+            (row["at_start"], {"found": start_value}),
+            (row["between"], {"low": start_value, "high": stop_value}),
+            (row["at_stop"], {"found": stop_value}),
+            (row["over"], {"low": stop_value, "high": t.high}),
+        ]
+        before = t.before
+        for size, change in pieces:
+            if t.rank < before + size:
+                result.append(replace(t, before=before, inside=size, **change))
+                break
+            before += size
     return result
 
 
@@ -166,29 +152,18 @@ def exact_quantiles(
 
     key = ["grp", "column", "rank"]
     in_order = Window.partitionBy(*key).orderBy("value")
+    open_rows = [(t.grp, t.column, t.rank, t.before, t.low, t.high) for t in done if t.found is None]
     ranked = (
-        _inside(values, _table(values, [t for t in done if t.found is None]))
+        _inside(values, _small(values, open_rows, "rank bigint, before bigint, low double, high double"))
         .groupBy(*key, "before", "value")
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("upto", F.col("before") + F.sum("n").over(in_order))
         .filter((F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n")))
         .select(*key, "value")
     )
-    counted = _table(values, [t for t in done if t.found is not None]).select(
-        *key, F.col("found").alias("value")
-    )
-    stats = ranked.unionByName(counted)
-    schema = T.StructType(
-        [
-            T.StructField("grp", values.schema["grp"].dataType),
-            T.StructField("column", T.StringType()),
-            T.StructField("prob", T.DoubleType()),
-            T.StructField("lower", T.LongType()),
-            T.StructField("upper", T.LongType()),
-            T.StructField("part", T.DoubleType()),
-        ]
-    )
-    asked = df.sparkSession.createDataFrame(wanted, schema)
+    known = [(t.grp, t.column, t.rank, t.found) for t in done if t.found is not None]
+    stats = ranked.unionByName(_small(values, known, "rank bigint, value double"))
+    asked = _small(values, wanted, "prob double, lower bigint, upper bigint, part double")
     # both order statistics of a quantile meet in one group of at most two rows
     near = asked.select(
         "grp", "column", "prob", "part", F.explode(F.array_distinct(F.array("lower", "upper"))).alias("rank")
