@@ -12,11 +12,15 @@ MERGERS = 64
 
 
 def sketch_quantiles(df: DataFrame, key: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
-    """(key..., cuts): approximate quantiles of ``value``, actual elements; null where no value is."""
+    """(key..., n, cuts): value count and approximate quantiles, which are actual elements.
+
+    ``cuts`` is null where no value is.
+    """
     key = list(key)
     partial = df.groupBy(*key, F.pmod(F.spark_partition_id(), F.lit(MERGERS)).alias("_merger")).agg(
         F.kll_sketch_agg_double(F.col(value).cast("double"), WIDTH).alias("_sketch")
     )
     merged = partial.groupBy(*key).agg(F.kll_merge_agg_double("_sketch", WIDTH).alias("_sketch"))
     cuts = F.kll_sketch_get_quantile_double("_sketch", F.array(*[F.lit(float(p)) for p in probs]))
-    return merged.select(*key, F.when(F.kll_sketch_get_n_double("_sketch") > 0, cuts).alias("cuts"))
+    n = F.kll_sketch_get_n_double("_sketch")
+    return merged.select(*key, n.alias("n"), F.when(n > 0, cuts).alias("cuts"))

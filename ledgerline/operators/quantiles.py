@@ -21,6 +21,7 @@ from ledgerline.functions.sketches import sketch_quantiles
 from ledgerline.functions.typing import column
 
 GRID = 200
+PROBS = [i / GRID for i in range(GRID + 1)]
 MARGIN = 2
 BROADCAST_ROWS = 100_000
 
@@ -65,31 +66,35 @@ def _inside(values: DataFrame, table: DataFrame) -> DataFrame:
     )
 
 
-def _cut_points(values: DataFrame, targets: list[_Target]) -> dict[tuple, list[float]]:
-    """Approximate quantiles inside each distinct bracket."""
-    brackets = sorted({(t.grp, t.column, t.low, t.high) for t in targets}, key=repr)
+def _bracket(t: _Target) -> tuple:
+    return (t.grp, t.column, t.low, t.high)
+
+
+def _cut_points(values: DataFrame, brackets: list[tuple]) -> dict[tuple, list[float]]:
+    """Approximate quantiles strictly inside each bracket."""
     table = _small(values, [(*b, i) for i, b in enumerate(brackets)], "low double, high double, bracket int")
-    grid = [i / GRID for i in range(GRID + 1)]
-    found = sketch_quantiles(_inside(values, table), ["bracket"], "value", grid).collect()
+    found = sketch_quantiles(_inside(values, table), ["bracket"], "value", PROBS).collect()
     return {brackets[row["bracket"]]: row["cuts"] for row in found}
 
 
-def _narrow(values: DataFrame, targets: list[_Target]) -> list[_Target]:
-    """One round: cut points inside each bracket, then exact counts around the rank."""
-    cuts = _cut_points(values, targets)
-    limits = []
+def _narrow(values: DataFrame, targets: list[_Target], cuts: dict[tuple, list[float]]) -> list[_Target]:
+    """Count exactly round two cut points near each rank, and keep the part that holds it."""
+    windows: dict[tuple, list[_Target]] = {}
     for t in targets:
-        points = cuts[t.grp, t.column, t.low, t.high]
+        points = cuts[_bracket(t)]
         at = int((t.rank - t.before) / t.inside * GRID)
-        limits.append((points[max(at - MARGIN, 0)], points[min(at + 1 + MARGIN, GRID)]))
-    rows = [
-        (t.grp, t.column, t.low, t.high, i, *limit) for i, (t, limit) in enumerate(zip(targets, limits, strict=True))
-    ]
-    table = _small(values, rows, "low double, high double, target int, from double, upto double")
+        window = (*_bracket(t), points[max(at - MARGIN, 0)], points[min(at + 1 + MARGIN, GRID)])
+        windows.setdefault(window, []).append(t)
+    wanted = list(windows)
+    table = _small(
+        values,
+        [(*w, i) for i, w in enumerate(wanted)],
+        "low double, high double, from double, upto double, window int",
+    )
     v, start, stop = F.col("value"), F.col("from"), F.col("upto")
     counted = (
         _inside(values, table)
-        .groupBy("target")
+        .groupBy("window")
         .agg(
             F.count_if(v < start).alias("under"),
             F.count_if(v == start).alias("at_start"),
@@ -101,20 +106,22 @@ def _narrow(values: DataFrame, targets: list[_Target]) -> list[_Target]:
     )
     result = []
     for row in counted:
-        t, (start_value, stop_value) = targets[row["target"]], limits[row["target"]]
+        window = wanted[row["window"]]
+        low, high, start_value, stop_value = window[2:]
         pieces = [
-            (row["under"], {"low": t.low, "high": start_value}),
+            (row["under"], {"low": low, "high": start_value}),
             (row["at_start"], {"found": start_value}),
             (row["between"], {"low": start_value, "high": stop_value}),
             (row["at_stop"], {"found": stop_value}),
-            (row["over"], {"low": stop_value, "high": t.high}),
+            (row["over"], {"low": stop_value, "high": high}),
         ]
-        before = t.before
-        for size, change in pieces:
-            if t.rank < before + size:
-                result.append(replace(t, before=before, inside=size, **change))
-                break
-            before += size
+        for t in windows[window]:
+            before = t.before
+            for size, change in pieces:
+                if t.rank < before + size:
+                    result.append(replace(t, before=before, inside=size, **change))
+                    break
+                before += size
     return result
 
 
@@ -133,10 +140,12 @@ def exact_quantiles(
     """
     names, probs = list(names), list(probs)
     values = long_values(df, names, by)
-    sizes = values.groupBy("grp", "column").agg(F.count(F.lit(1)).alias("n")).collect()
+    # one pass gives the sizes and the first cut points
+    first = sketch_quantiles(values, ["grp", "column"], "value", PROBS).collect()
+    cuts = {(row["grp"], row["column"], -math.inf, math.inf): row["cuts"] for row in first}
 
     wanted, targets = [], {}
-    for row in sizes:
+    for row in first:
         for p in probs:
             position = p * (row["n"] - 1)
             lower, upper = math.floor(position), math.ceil(position)
@@ -148,21 +157,33 @@ def exact_quantiles(
     while open_:
         large = [t for t in open_ if t.found is None and t.inside > rank_at_most]
         done += [t for t in open_ if t.found is not None or t.inside <= rank_at_most]
-        open_ = _narrow(values, large) if large else []
-
-    key = ["grp", "column", "rank"]
-    in_order = Window.partitionBy(*key).orderBy("value")
-    open_rows = [(t.grp, t.column, t.rank, t.before, t.low, t.high) for t in done if t.found is None]
+        unseen = sorted({_bracket(t) for t in large} - cuts.keys(), key=repr)
+        if unseen:
+            cuts |= _cut_points(values, unseen)
+        open_ = _narrow(values, large, cuts) if large else []
+
+    # rank the few distinct values inside each open bracket
+    brackets = {b: i for i, b in enumerate(dict.fromkeys(_bracket(t) for t in done if t.found is None))}
+    inside = _inside(
+        values, _small(values, [(*b, i) for b, i in brackets.items()], "low double, high double, bracket int")
+    )
+    upto = F.sum("n").over(Window.partitionBy("bracket").orderBy("value"))
     ranked = (
-        _inside(values, _small(values, open_rows, "rank bigint, before bigint, low double, high double"))
-        .groupBy(*key, "before", "value")
+        inside.groupBy("grp", "column", "bracket", "value")
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("upto", F.col("before") + F.sum("n").over(in_order))
-        .filter((F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n")))
+        .withColumn("upto", upto)
+    )
+    open_rows = [(t.grp, t.column, t.rank, t.rank - t.before, brackets[_bracket(t)]) for t in done if t.found is None]
+    key = ["grp", "column", "rank"]
+    picked = (
+        ranked.join(
+            _small(values, open_rows, "rank bigint, offset bigint, bracket int"), ["grp", "column", "bracket"]
+        )
+        .filter((F.col("offset") < F.col("upto")) & (F.col("offset") >= F.col("upto") - F.col("n")))
         .select(*key, "value")
     )
     known = [(t.grp, t.column, t.rank, t.found) for t in done if t.found is not None]
-    stats = ranked.unionByName(_small(values, known, "rank bigint, value double"))
+    stats = picked.unionByName(_small(values, known, "rank bigint, value double"))
     asked = _small(values, wanted, "prob double, lower bigint, upper bigint, part double")
     # both order statistics of a quantile meet in one group of at most two rows
     near = asked.select(

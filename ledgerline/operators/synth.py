@@ -34,45 +34,53 @@ def decimals(value):
     return need
 
 
+def _long(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    return df.select(
+        F.inline(
+            F.array(
+                *[F.struct(F.lit(c).alias("column"), column(c).cast("double").alias("value")) for c in names]
+            )
+        )
+    )
+
+
 def metadata(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Type, range, nulls and decimals per column."""
     types = dict(df.dtypes)
-    row = df.agg(
-        *[
-            F.struct(
-                F.lit(c).alias("column"),
-                F.lit(types[c]).alias("data_type"),
-                F.min(column(c)).cast("double").alias("min"),
-                F.max(column(c)).cast("double").alias("max"),
-                F.count_if(column(c).isNull()).alias("n_null"),
-                F.max(decimals(column(c).cast("double"))).alias("decimals"),
-            ).alias(f"c{i}")
-            for i, c in enumerate(names)
-        ]
+    type_of = F.create_map(*[F.lit(part) for c in names for part in (c, types[c])])
+    return (
+        _long(df, names)
+        .groupBy("column")
+        .agg(
+            F.min("value").alias("min"),
+            F.max("value").alias("max"),
+            F.count_if(F.col("value").isNull()).alias("n_null"),
+            F.max(decimals(F.col("value"))).alias("decimals"),
+        )
+        .select("column", type_of[F.col("column")].alias("data_type"), "min", "max", "n_null", "decimals")
     )
-    return row.select(F.inline(F.array(*[f"c{i}" for i in range(len(names))])))
 
 
 def beta_shape(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Beta parameters by moments on the observed range: (column, low, high, alpha, beta)."""
-    long = df.select(
-        F.inline(
-            F.array(
-                *[F.struct(F.lit(c).alias("column"), column(c).cast("double").alias("value")) for c in names]
-            )
+    """Beta parameters by moments on the observed range, and the decimals of each column."""
+    stats = (
+        _long(df, names)
+        .groupBy("column")
+        .agg(
+            F.min("value").alias("low"),
+            F.max("value").alias("high"),
+            F.avg("value").alias("mean"),
+            F.var_pop("value").alias("var"),
+            F.max(decimals(F.col("value"))).alias("decimals"),
         )
     )
-    stats = long.groupBy("column").agg(
-        F.min("value").alias("low"),
-        F.max("value").alias("high"),
-        F.avg("value").alias("mean"),
-        F.var_pop("value").alias("var"),
-    )
     width = F.col("high") - F.col("low")
     m = F.try_divide(F.col("mean") - F.col("low"), width)
     v = F.try_divide(F.col("var"), width * width)
     size = F.try_divide(m * (1 - m), v) - 1
-    return stats.select("column", "low", "high", (m * size).alias("alpha"), ((1 - m) * size).alias("beta"))
+    return stats.select(
+        "column", "low", "high", (m * size).alias("alpha"), ((1 - m) * size).alias("beta"), "decimals"
+    )
 
 
 @dataclass(frozen=True)
@@ -110,9 +118,8 @@ def fit(df: DataFrame, names: Sequence[str]) -> Copula:
     """Fit marginals and the correlation of their normal scores.  Columns must hold no nulls."""
     names = list(names)
     shapes = {r["column"]: r for r in beta_shape(df, names).collect()}  # one row per column
-    digits = {r["column"]: r["decimals"] for r in metadata(df, names).collect()}
     marginals = [
-        _marginal(c, *(shapes[c][f] for f in ("low", "high", "alpha", "beta")), digits[c]) for c in names
+        _marginal(c, *(shapes[c][f] for f in ("low", "high", "alpha", "beta", "decimals"))) for c in names
     ]
     tables = [(m.values, m.scores) for m in marginals]
 

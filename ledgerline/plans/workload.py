@@ -791,7 +791,7 @@ def copula_metadata(clean):
 
 @query("canonical", 4)
 def copula_beta_shape(clean):
-    return synth.beta_shape(clean, SYNTHETIC)
+    return synth.beta_shape(clean, SYNTHETIC).drop("decimals")
 
 
 @query("canonical", 4)

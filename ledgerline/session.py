@@ -17,6 +17,8 @@ def build_session(app: str = "ledgerline", cores: int | str = 8, **conf: str) ->
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # do not record a Python call site for every column expression of the wide tables
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for name, value in conf.items():
         builder = builder.config(name.replace("__", "."), value)
