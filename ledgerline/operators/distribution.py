@@ -6,7 +6,7 @@ import math
 from collections.abc import Iterable
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.typing import column
@@ -246,22 +246,21 @@ def chi_square_select(
         .groupBy("feature", "bin", "label")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    # from here on: features x bins x labels rows
-    rows = counts.groupBy("feature", "bin").agg(F.sum("n").alias("row_n"))
-    cols = counts.groupBy("feature", "label").agg(F.sum("n").alias("col_n"))
-    whole = counts.groupBy("feature").agg(
-        F.sum("n").alias("total"),
-        ((F.count_distinct("bin") - 1) * (F.count_distinct("label") - 1)).alias("dof"),
-    )
-    seen = (
-        counts.join(rows, ["feature", "bin"])
-        .join(cols, ["feature", "label"])
-        .groupBy("feature")
-        .agg(F.sum(F.col("n") / F.col("row_n") * (F.col("n") / F.col("col_n"))).alias("phi"))
+    # from here on there are at most features x bins x labels rows
+    def total(*key: str) -> Column:
+        return F.sum("n").over(Window.partitionBy(*key))
+
+    sums = counts.select(
+        "*",
+        total("feature", "bin").alias("row_n"),
+        total("feature", "label").alias("col_n"),
+        total("feature").alias("total"),
     )
+    phi = F.sum(F.col("n") / F.col("row_n") * (F.col("n") / F.col("col_n")))
+    dof = (F.count_distinct("bin") - 1) * (F.count_distinct("label") - 1)
     return (
-        seen.join(whole, "feature")
-        .select("feature", (F.col("total") * (F.col("phi") - 1)).alias("statistic"), "dof")
+        sums.groupBy("feature")
+        .agg((F.max("total") * (phi - 1)).alias("statistic"), dof.alias("dof"))
         .orderBy(F.desc("statistic"), "feature")
         .limit(top)
     )

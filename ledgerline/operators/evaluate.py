@@ -2,7 +2,8 @@
 
 A scored frame holds a label, a hard prediction and a score for class 1.  All
 class metrics come from one confusion count, all curves from one count per
-distinct score.  ``by`` evaluates several models or splits in the same pass.
+distinct score.  ``by`` names columns such as model and split, to evaluate several in
+one pass; there is one row of totals per group, which every executor holds.
 """
 
 from __future__ import annotations

@@ -20,7 +20,8 @@ from ledgerline.operators import columns as C
 from ledgerline.operators import correlate, distribution, evaluate, filters, joins, missing, models
 from ledgerline.operators import prepare, profile, rules, split, synth
 from ledgerline.plans import presets
-from ledgerline.sources.staging import stage
+from ledgerline.sources import tables
+from ledgerline.sources.staging import new_path, stage
 from ledgerline.sources.statements import credit_raw, load_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,7 +110,21 @@ QUERIES["flagship_label_balance"] = flagship
 @query(digits=4)
 def scan_table(spark, sf_dir):
     staged(spark, sf_dir, "canonical").createOrReplaceTempView("crs_transformed")
-    return spark.read.table("crs_transformed")
+    return tables.scan_table(spark, "crs_transformed")
+
+
+@query("canonical", 4)
+def write_table_overwrite(clean):
+    spark = clean.sparkSession
+    tables.write_table_overwrite(clean, tables.CLEAN_TABLE, new_path(spark, "crs_transformed"))
+    return tables.scan_table(spark, tables.CLEAN_TABLE)
+
+
+@query("canonical", 4)
+def write_parquet(clean):
+    path = new_path(clean.sparkSession, "write_parquet")
+    tables.write_parquet(clean, path)
+    return clean.sparkSession.read.parquet(path)
 
 
 # --- projection, typing, scalars ------------------------------------------------------------

@@ -28,9 +28,13 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[context.applicationId]
 
 
+def new_path(spark: SparkSession, label: str) -> str:
+    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` once under the shared folder and read it back."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -47,10 +47,16 @@ def scan_table(spark: SparkSession, name: str = CLEAN_TABLE) -> DataFrame:
     return spark.read.table(name)
 
 
-def write_table_overwrite(df: DataFrame, name: str = CLEAN_TABLE) -> None:
-    """Drop the table if it exists, then save ``df`` under that name."""
+def write_table_overwrite(df: DataFrame, name: str = CLEAN_TABLE, path: str | None = None) -> None:
+    """Drop the table if it exists, then save ``df`` under that name.
+
+    With ``path`` the files go there and stay when the table is dropped.
+    """
     df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
-    df.write.mode("overwrite").saveAsTable(name)
+    writer = df.write.mode("overwrite")
+    if path is not None:
+        writer = writer.option("path", path)
+    writer.saveAsTable(name)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -54,7 +54,8 @@ raw("adapter_credit_raw", f"SELECT contract_id, {cols(_text)}, {rnds(S.RAW_NUMER
 _doubles = [c for c in S.FEATURES if c not in S.SCORES]
 _canonical = f"contract_id, customer_name, {rnds(_doubles, 4)}, {cols([*S.SCORES, S.LABEL])}"
 clean("prepare_canonical", f"SELECT {_canonical} FROM clean")
-clean("scan_table", f"SELECT {_canonical} FROM clean")
+for _name in ("scan_table", "write_table_overwrite", "write_parquet"):
+    clean(_name, f"SELECT {_canonical} FROM clean")
 clean(
     "select_contract",
     f"SELECT customer_name, {rnds(_doubles, 4)}, {cols([*S.SCORES, S.LABEL])} FROM clean",

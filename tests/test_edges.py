@@ -202,3 +202,17 @@ def test_roc_curve_drops_only_points_on_a_line(spark):
 
 def test_quantile_of_empty_frame(spark):
     assert exact_quantiles(spark.createDataFrame([], "x double"), ["x"], [0.5]).count() == 0
+
+
+def test_many_valued_class_column_is_refused(spark):
+    df = spark.range(5000).withColumn("x", F.lit(1.0))
+    with pytest.raises(ValueError, match="distinct"):
+        distribution.box_stats(df, ["x"], by="id")
+
+
+def test_chi_square_of_a_known_table(spark):
+    rows = [(0.0, 0)] * 30 + [(0.0, 1)] * 10 + [(1.0, 0)] * 20 + [(1.0, 1)] * 40
+    df = spark.createDataFrame(rows, "x double, y int")
+    got = distribution.chi_square_select(df, ["x"], "y", bins=2).first()
+    want = sum((o - e) ** 2 / e for o, e in [(30, 20), (10, 20), (20, 30), (40, 30)])
+    assert got["statistic"] == pytest.approx(want) and got["dof"] == 1
