@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.spans import U64, pieces, running, span_hashes, text_bytes, word_ranges
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 PART_BYTES = 16 << 20  # of text for each key range
 
 
@@ -180,13 +180,11 @@ def with_answers(made: Blocked, flags: DataFrame, work: Callable[[int, BlockText
 
 def covered(n: int, starts: np.ndarray, width: int | np.ndarray) -> np.ndarray:
     """Which of ``n`` places lie in a range that begins at one of ``starts``."""
-    step = np.zeros(n + 1, np.int64)
-    np.add.at(step, starts, 1) if np.ndim(width) else step.__setitem__(starts, 1)
-    if np.ndim(width):
-        np.subtract.at(step, starts + width, 1)
-    else:
-        step[np.asarray(starts) + width] -= 1
-    return np.cumsum(step)[:n] > 0
+    step = np.zeros(n + 1, np.int32)
+    np.add.at(step, starts, np.int32(1))
+    np.subtract.at(step, starts + width, np.int32(1))
+    np.cumsum(step, out=step)
+    return step[:n] > 0
 
 
 def runs(flags: np.ndarray, breaks: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:

@@ -181,8 +181,9 @@ def _remove(texts: BlockTexts, units: np.ndarray, windows: np.ndarray, width: in
         fields=[pa.field("start", pa.int64()), pa.field("end", pa.int64())],
     )
     per_doc = np.bincount(doc, minlength=len(lengths)) if len(lengths) else np.zeros(0, np.int64)
-    removed_before = np.concatenate([[0], np.cumsum(gone)])[texts.offsets]
-    removed = np.diff(removed_before)
+    removed_before = np.zeros(size + 1, np.int32)
+    np.cumsum(gone, out=removed_before[1:])
+    removed = np.diff(removed_before[texts.offsets]).astype(np.int64)
     columns = {
         "doc_id": texts.ids,
         "n_bytes": pa.array(lengths),
