@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.blocks import BlockTexts, answers, binary_column, blocked, covered, per_block, per_part, runs
 from ledgerline.llm.blocks import rows_table, spread, with_answers
-from ledgerline.llm.spans import U64, pieces, ragged, running, span_hashes, window_hashes
+from ledgerline.llm.spans import U64, mix, pieces, ragged, running, span_hashes, window_hashes
 
 GRAM = 24
 ALONE, EARLIER, PARTIAL = 0, 1, 2
@@ -93,7 +93,8 @@ def _units(texts: BlockTexts, width: int, gram: int):
         n = np.diff(np.append(first, len(at)))
         docs = np.repeat(np.arange(a, b), windows)[first]
         begin = at[first]
-        found.append((begin + low, n, least[first], span_hashes(sums, begin, begin + n + width - 1), docs))
+        # least hashes are small; mixing spreads them evenly over the key ranges
+        found.append((begin + low, n, mix(least[first]), span_hashes(sums, begin, begin + n + width - 1), docs))
     if not found:
         empty = np.zeros(0, np.int64)
         return empty, empty, np.zeros(0, U64), np.zeros(0, U64), empty

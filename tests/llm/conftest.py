@@ -24,4 +24,4 @@ def small_blocks(monkeypatch):
     """Many blocks and key ranges on small tables."""
     from ledgerline.llm import blocks
 
-    monkeypatch.setattr(blocks.blocked, "__defaults__", (20_000, 40_000))
+    monkeypatch.setattr(blocks.blocked, "__defaults__", (20_000, 40_000, ()))
