@@ -119,7 +119,9 @@ def contamination(docs: DataFrame, items: DataFrame, share: int = 20) -> DataFra
     met = stage(met, "met")
 
     # 2. windows of hit documents whose fingerprint was met, compared by their words
-    hit = keyed.join(met, _same(keyed, met)).select(keyed["doc_id"], keyed["text_key"], "met", words(F.col("text")).alias("words"))
+    # written first, so that only hit documents are split into words again
+    hit = stage(keyed.join(met, _same(keyed, met)).select(keyed["doc_id"], keyed["text_key"], "met", "text"), "hit")
+    hit = hit.select("doc_id", "text_key", "met", words(F.col("text")).alias("words"))
     spelled = None
     for length in lengths:
         found = _let(
