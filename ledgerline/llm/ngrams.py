@@ -11,8 +11,9 @@ pairs fall away before any count:
    ``size - least overlap + 1`` columns of both, so only these are joined.
 3. In each column one row, the centre, is multiplied with the others whose bound it can
    reach; overlap counts are summed over blocks of rows.  Linked rows merge, and later
-   rounds take new centres for the rows of other components only.  When few pairs are
-   left, all of them are counted, so no link between different components is lost.
+   rounds take new centres for the rows of other components only.  At last all that is
+   left is counted, so no link between different components is lost: the rows of frequent
+   columns as products of two blocks each, the others pair by pair.
 """
 
 from __future__ import annotations
@@ -35,7 +36,9 @@ SENT_ARROW = pa.schema([("block", pa.int32()), ("part", pa.int32()), ("keys", pa
 ROWS = "doc_id long, n long, k1 long, k2 long, columns array<long>, places array<int>, grams binary"
 PRODUCT_ROWS = 256  # rows multiplied with a centre in one task
 FEW_PAIRS = 4  # open pairs for each entry, from which all are counted
-MOST_ROUNDS = 8
+MOST_ROUNDS = 3
+HOT_ROWS = 64  # of a column, from which its open pairs are counted block by block
+OWN_BLOCKS = 32  # rows of a component that gets blocks of its own
 
 
 def least_overlap(n, percent: int):
@@ -150,6 +153,64 @@ def _links(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
     return stage(blocks.applyInArrow(product, "a long, b long"), "found")
 
 
+def _block_products(one: pa.Table, many: pa.Table, percent: int) -> pa.Table:
+    """Links between the rows of two blocks that are in different components."""
+    sides = []
+    for t in (one, many):
+        ids, roots = (t.column(c).to_numpy() for c in ("id", "root"))
+        grams = [np.frombuffer(x, U64) for x in t.column("grams").to_pylist()]
+        sides.append((ids, roots, grams, np.array([len(x) for x in grams], np.int64)))
+    (ids, roots, grams, sizes), (m_ids, m_roots, m_grams, m_sizes) = sides
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    if len(m_ids):
+        every, begin = np.concatenate(m_grams), np.cumsum(m_sizes) - m_sizes
+        for i, root, row, n in zip(ids.tolist(), roots.tolist(), grams, sizes.tolist(), strict=True):
+            can = (m_roots != root) & (100 * np.minimum(n, m_sizes) >= percent * np.maximum(n, m_sizes))
+            if not can.any():
+                continue
+            at = np.searchsorted(row, every)
+            at[at == n] = 0
+            overlap = np.add.reduceat((row[at] == every).astype(np.int64), begin)
+            found = m_ids[can & (100 * overlap >= percent * (n + m_sizes - overlap))]
+            a.append(np.full(len(found), i, np.int64))
+            b.append(found)
+    return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
+
+
+def _block_links(at: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """Links between components among the rows of frequent columns, by products of blocks.
+
+    Large components are split into blocks of rows; rows of small ones are put together
+    by the largest component that they share a column with.  Two blocks are multiplied
+    if they meet in a column, unless both are of one component.
+    """
+    docs = at.select("id", "root").distinct()
+    size = docs.groupBy("root").agg(F.count("*").alias("size"))
+    sized = stage(at.select("column", "id", "root").join(size, "root"), "sized")
+    top = sized.groupBy("column").agg(F.max(F.struct("size", "root")).alias("top"))
+    each = sized.join(top, "column").groupBy("id", "root", "size").agg(F.max("top").alias("top"))
+    own = F.col("size") >= OWN_BLOCKS
+    each = each.select("id", "root", own.alias("own"), F.when(own, F.col("root")).otherwise(F.col("top.root")).alias("family"))
+    many = each.groupBy("own", "family").agg(F.ceil(F.count("*") / PRODUCT_ROWS).cast("int").alias("blocks"))
+    bucket = F.pmod(F.xxhash64("id"), "blocks")
+    each = each.join(many, ["own", "family"]).withColumn("block", F.xxhash64("own", "family", bucket))
+    each = stage(each.select("id", "root", "own", "family", "block"), "each")
+    met = sized.select("column", "id").join(each, "id").select("column", "own", "family", "block").distinct()
+    x, y = (met.select("column", *[F.col(c).alias(f"{c}_{k}") for c in ("own", "family", "block")]) for k in "xy")
+    apart = ~(F.col("own_x") & F.col("own_y") & (F.col("family_x") == F.col("family_y")))
+    pairs = x.join(y, "column").where((F.col("block_x") <= F.col("block_y")) & apart)
+    pairs = stage(pairs.select(F.col("block_x").alias("p"), F.col("block_y").alias("q")).distinct(), "block_pairs")
+    sets = stage(each.select("id", "root", "block").join(rows.select("id", "grams"), "id"), "block_rows")
+    one = pairs.join(sets, pairs["p"] == sets["block"]).select("p", "q", "id", "root", "grams")
+    two = pairs.join(sets, pairs["q"] == sets["block"]).select("p", "q", "id", "root", "grams")
+    two = two.toDF("p2", "q2", "id", "root", "grams")
+
+    def product(a: pa.Table, b: pa.Table) -> pa.Table:
+        return _block_products(a, b, percent)
+
+    return stage(one.groupBy("p", "q").cogroup(two.groupBy("p2", "q2")).applyInArrow(product, "a long, b long"), "found")
+
+
 def _bounded(pairs: DataFrame, percent: int) -> DataFrame:
     """Distinct ordered pairs whose sizes and places still allow the overlap they need.
 
@@ -169,7 +230,7 @@ def _components(entries: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
     roots = spark.createDataFrame([], "node long, root long")
     for turn in range(MOST_ROUNDS):
         at = entries.join(roots, entries["id"] == roots["node"], "left")
-        at = stage(at.select("column", "id", "n", "place", F.coalesce("root", "id").alias("root")), "at")
+        at = stage(at.select("column", "id", "n", "place", "share", F.coalesce("root", "id").alias("root")), "at")
         # pairs of rows that share a column and not a component
         per_root = at.groupBy("column", "root").agg(F.count("*").alias("c"))
         per_column = per_root.groupBy("column").agg(F.sum("c").alias("c"), F.sum(F.col("c") * F.col("c")).alias("cc"))
@@ -179,9 +240,14 @@ def _components(entries: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
             break
         last = turn > 0 and (open_pairs <= FEW_PAIRS * n_entries or turn == MOST_ROUNDS - 1)
         if last:
+            hot = per_column.where(F.col("c") > HOT_ROWS).select(F.col("column").alias("hot"))
+            links = links.unionByName(_block_links(at.join(hot, at["column"] == hot["hot"], "left_semi"), rows, percent))
+            at = at.join(hot, at["column"] == hot["hot"], "left_anti")
             left = at
         else:
-            pick = F.struct(F.xxhash64("id", F.lit(turn)).alias("order"), "id", "n", "place", "root")
+            # first the rows with the most shared columns, which edited copies have fewer of
+            order = -F.col("share") if not turn else F.xxhash64("id", F.lit(turn)).cast("double")
+            pick = F.struct(order.alias("order"), "id", "n", "place", "root")
             left = at.groupBy("column").agg(F.min(pick).alias("p")).select("column", "p.id", "p.n", "p.place", "p.root")
         x = left.select("column", F.col("id").alias("x"), F.col("n"), F.col("place").alias("i"), F.col("root").alias("rx"))
         y = at.select("column", F.col("id").alias("y"), F.col("n").alias("m"), F.col("place").alias("j"), F.col("root").alias("ry"))
@@ -233,7 +299,9 @@ def similar_documents(docs: DataFrame, width: int = 4, percent: int = 85) -> Dat
     entries = rows.select("id", "n", F.explode(F.arrays_zip("columns", "places")).alias("e"))
     entries = entries.select(F.col("e.columns").alias("column"), "id", F.col("n").cast("int").alias("n"), F.col("e.places").alias("place"))
     shared = entries.groupBy("column").agg(F.count("*").alias("c")).where("c > 1").select("column")
-    entries = stage(entries.join(shared, "column"), "entries")
+    entries = stage(entries.join(shared, "column"), "shared")
+    share = entries.groupBy("id").agg((F.count("*") / F.first("n")).alias("share"))
+    entries = stage(entries.join(share, "id"), "entries")
     roots = _components(entries, rows, percent)
 
     named = classes.join(roots, classes["k1"] == roots["node"], "left").select(

@@ -66,10 +66,13 @@ def test_matches_all_pairs(texts, small_blocks, pairs):
     assert sorted(got, key=key) == sorted(brute(pairs), key=key)
 
 
-def test_matches_with_rounds_and_the_rest(texts, small_blocks, monkeypatch):
+@pytest.mark.parametrize("hot", [0, 8])
+def test_matches_with_rounds_and_the_rest(texts, small_blocks, monkeypatch, hot):
     monkeypatch.setattr(ngrams, "FEW_PAIRS", 0)
-    monkeypatch.setattr(ngrams, "MOST_ROUNDS", 3)
+    monkeypatch.setattr(ngrams, "MOST_ROUNDS", 2)
     monkeypatch.setattr(ngrams, "PRODUCT_ROWS", 5)
+    monkeypatch.setattr(ngrams, "HOT_ROWS", hot)
+    monkeypatch.setattr(ngrams, "OWN_BLOCKS", 4)
     pairs = made(2, 200)
     got = [tuple(r) for r in ngrams.similar_documents(texts(pairs)).collect()]
     assert sorted(got, key=key) == sorted(brute(pairs), key=key)
