@@ -57,6 +57,11 @@ def _marks(hashes: Column, length: int) -> Column:
     return _let(grams, lambda g: F.transform(_places(g, span), lambda i: F.array_min(F.slice(g, i, span))))
 
 
+def _marks_near(length: int, body):
+    """For ``_let``: ``body`` of the fingerprints of bound word hashes."""
+    return lambda hashes: _let(_marks(hashes, length), body)
+
+
 def _hashes(of: Column) -> Column:
     return F.transform(of, lambda w: F.xxhash64(w))
 
@@ -124,10 +129,8 @@ def contamination(docs: DataFrame, items: DataFrame, share: int = 20) -> DataFra
     hit = hit.select("doc_id", "text_key", "met", words(F.col("text")).alias("words"))
     spelled = None
     for length in lengths:
-        found = _let(
-            _marks(_hashes(F.col("words")), length),
-            lambda m: F.filter(_places(m, 1), lambda i: F.array_contains(F.col("met"), F.element_at(m, i))),
-        )
+        near = lambda m: F.filter(_places(m, 1), lambda i: F.array_contains(F.col("met"), F.element_at(m, i)))
+        found = _let(_hashes(F.col("words")), _marks_near(length, near))
         some = hit.select("doc_id", "text_key", "words", F.explode(found).alias("start")).select(
             "doc_id", "text_key", "start", F.lit(length).alias("length"),
             F.array_join(F.slice("words", F.col("start"), length), " ").alias("window"),
