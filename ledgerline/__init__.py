@@ -1 +1 @@
-"""ledgerline: credit-risk analytics on wide customer tables, written for Spark."""
+"""ledgerline: statements, scores, rules and models over wide customer tables, written for Spark."""

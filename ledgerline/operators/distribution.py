@@ -23,21 +23,27 @@ def zscore_outlier_count(
 ) -> DataFrame:
     """Rows with abs(z) above ``limit`` per column, population spread, counts above 0 only.
 
-    ``nan_policy="propagate"`` gives a column that holds any null no outliers;
-    ``"omit"`` leaves its nulls out.
+    ``nan_policy="propagate"`` gives a column that holds any null or NaN no outliers;
+    ``"omit"`` leaves its nulls and NaN out.  A column with an infinite value has no
+    spread and no outliers.
     """
     names = list(names)
     stats: dict[str, Column] = {}
+
+    def value(c: str) -> Column:
+        return F.when(~F.isnan(column(c)), column(c))
+
     for c in names:
-        stats[f"mean {c}"] = F.avg(column(c))
-        stats[f"std {c}"] = F.stddev_pop(column(c))
-        stats[f"nulls {c}"] = F.count_if(column(c).isNull())
+        stats[f"mean {c}"] = F.avg(value(c))
+        stats[f"std {c}"] = F.stddev_pop(value(c))
+        stats[f"nulls {c}"] = F.count_if(value(c).isNull())
     df, row = attach_row(df, stats)
 
     def far(c: str) -> Column:
-        z = F.try_divide(column(c) - row[f"mean {c}"], row[f"std {c}"])
+        z = F.try_divide(value(c) - row[f"mean {c}"], row[f"std {c}"])
         whole = (row[f"nulls {c}"] == 0) if nan_policy == "propagate" else F.lit(True)
-        return F.count_if((F.abs(z) > limit) & whole)
+        # NaN is above every number in Spark's order
+        return F.count_if((F.abs(z) > limit) & ~F.isnan(z) & whole)
 
     counts = df.agg(*[far(c).alias(f"n{i}") for i, c in enumerate(names)])
     entries = [F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("n_outliers")) for i, c in enumerate(names)]

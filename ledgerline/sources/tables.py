@@ -48,11 +48,11 @@ def scan_table(spark: SparkSession, name: str = CLEAN_TABLE) -> DataFrame:
 
 
 def write_table_overwrite(df: DataFrame, name: str = CLEAN_TABLE, path: str | None = None) -> None:
-    """Drop the table if it exists, then save ``df`` under that name.
+    """Save ``df`` under that name in place of a table that may exist.
 
-    With ``path`` the files go there and stay when the table is dropped.
+    With ``path`` the files go there and stay when the table is dropped.  Nothing is
+    dropped beforehand, and Spark refuses a frame that reads the table itself.
     """
-    df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
     writer = df.write.mode("overwrite")
     if path is not None:
         writer = writer.option("path", path)

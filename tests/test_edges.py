@@ -216,3 +216,15 @@ def test_chi_square_of_a_known_table(spark):
     got = distribution.chi_square_select(df, ["x"], "y", bins=2).first()
     want = sum((o - e) ** 2 / e for o, e in [(30, 20), (10, 20), (20, 30), (40, 30)])
     assert got["statistic"] == pytest.approx(want) and got["dof"] == 1
+
+
+def test_zscore_counts_no_nan_and_no_infinite_column(spark):
+    from ledgerline.operators.distribution import zscore_outlier_count
+
+    nan, inf = float("nan"), float("inf")
+    plain = [0.0] * 20 + [100.0]
+    rows = [(x, nan if i == 0 else x, inf if i == 0 else x) for i, x in enumerate(plain)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    assert [tuple(r) for r in zscore_outlier_count(df, "abc").collect()] == [("a", 1)]
+    omitted = zscore_outlier_count(df, "abc", nan_policy="omit").collect()
+    assert [tuple(r) for r in omitted] == [("a", 1), ("b", 1)]
