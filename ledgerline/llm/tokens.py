@@ -15,7 +15,7 @@ import pyarrow as pa
 
 from ledgerline.llm.spans import PIECE, U64, pieces, ragged, running, span_hashes, text_bytes
 
-KEPT_PIECES = 400_000  # known pieces of a task before it starts anew, which bounds memory
+KEPT_PIECES = 400_000  # known pieces of a task before it drops those met once, which bounds memory
 LONGEST = 64  # bytes of a piece that is looked up; longer ones are rare and always encoded
 
 _encoders: dict[str, Encoder] = {}
@@ -41,6 +41,17 @@ class Encoder:
         self.starts = np.zeros(0, np.int64)
         self.lengths = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
+        self.again = np.zeros(0, bool)  # met in a later block than the one they came from
+
+    def thin(self) -> None:
+        """Keep the pieces that were met again; if these are most of them, start anew."""
+        keep = np.flatnonzero(self.again)
+        if 2 * len(keep) > KEPT_PIECES:
+            return self.forget()
+        self.keys, lengths = self.keys[keep], self.lengths[keep]
+        self.ids = self.ids[ragged(self.starts[keep], lengths)]
+        self.starts, self.lengths = np.cumsum(lengths) - lengths, lengths
+        self.again = np.zeros(len(keep), bool)
 
     def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         made = [x.ids for x in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
@@ -51,10 +62,11 @@ class Encoder:
     def _places(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, keys: np.ndarray) -> np.ndarray:
         """Where each distinct piece is among the known ones, asking for the new ones."""
         if len(self.keys) > KEPT_PIECES:
-            self.forget()
+            self.thin()
         at = np.searchsorted(self.keys, keys)
         at[at == len(self.keys)] = 0
         known = self.keys[at] == keys if len(self.keys) else np.zeros(len(keys), bool)
+        self.again[at[known]] = True
         if not known.all():
             new = np.flatnonzero(~known)
             raw = data.tobytes()
@@ -64,6 +76,7 @@ class Encoder:
             self.keys = np.concatenate([self.keys, keys[new]])[order]
             self.starts = np.concatenate([self.starts, begin])[order]
             self.lengths = np.concatenate([self.lengths, lengths])[order]
+            self.again = np.concatenate([self.again, np.zeros(len(new), bool)])[order]
             self.ids = np.concatenate([self.ids, ids])
             at = np.searchsorted(self.keys, keys)
         return at
