@@ -65,8 +65,7 @@ def box_stats(df: DataFrame, names: Iterable[str], by: str | None = None, **limi
     )
     reach = WHISKER * (F.col("q3") - F.col("q1"))
     inside = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
-    # one fence row per group and column, so this side is small
-    table = long_values(df, names, by).join(F.broadcast(fences), key).groupBy(*key, "q1", "median", "q3").agg(
+    table = long_values(df, names, by).join(fences, key).groupBy(*key, "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
         F.count_if(~inside).alias("n_outliers"),
@@ -74,6 +73,12 @@ def box_stats(df: DataFrame, names: Iterable[str], by: str | None = None, **limi
     return table.withColumnRenamed("grp", by) if by else table.drop("grp")
 
 
+def _finite(c: str) -> Column:
+    """The values of a column as double; null for NaN and infinite ones."""
+    value = column(c).cast("double")
+    return F.when(F.abs(value) < math.inf, value)
+
+
 def _bounds(values: DataFrame) -> DataFrame:
     """Range of each column; a constant column gets a range of width 1 round its value."""
     low, high = F.min("value"), F.max("value")
@@ -90,7 +95,7 @@ def _bin(value: Column, low: Column, high: Column, bins: int) -> Column:
 
 def histogram(df: DataFrame, names: Iterable[str], bins: int = 10) -> DataFrame:
     """Counts per equal-width bin, empty bins included."""
-    values = long_values(df, names)
+    values = long_values(df, names).filter(F.abs("value") < math.inf)
     bounds = _bounds(values)
     counts = (
         values.join(F.broadcast(bounds), "column")  # one row per column
@@ -123,7 +128,7 @@ def kde_grid(
     with few distinct values; for continuous columns it would only be a shuffle.
     """
     key = ["grp", "column"]
-    values = long_values(df, names, by)
+    values = long_values(df, names, by).filter(F.abs("value") < math.inf)
     spread = (
         values.groupBy(*key)
         .agg(
@@ -143,7 +148,7 @@ def kde_grid(
     else:
         weighted = values.withColumn("n", F.lit(1))
     curve = (
-        weighted.join(F.broadcast(spread), key)  # one row per group and column
+        weighted.join(spread, key)
         .select("*", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
         .groupBy(*key, "point", "total", "low", "high", "width")
         .agg(height.alias("height"))
@@ -171,14 +176,14 @@ def linear_fit(df: DataFrame, x: str, y: str) -> DataFrame:
 def _with_bins(df: DataFrame, names: list[str], bins: int) -> tuple[DataFrame, dict[str, Column]]:
     stats: dict[str, Column] = {}
     for c in names:
-        stats[f"low {c}"], stats[f"high {c}"] = F.min(column(c)), F.max(column(c))
+        stats[f"low {c}"], stats[f"high {c}"] = F.min(_finite(c)), F.max(_finite(c))
     df, row = attach_row(df, stats)
     cells = {}
     for c in names:
         low, high = row[f"low {c}"], row[f"high {c}"]
         flat = low == high
         cells[c] = _bin(
-            column(c),
+            _finite(c),
             F.when(flat, low - 0.5).otherwise(low),
             F.when(flat, high + 0.5).otherwise(high),
             bins,
@@ -189,7 +194,7 @@ def _with_bins(df: DataFrame, names: list[str], bins: int) -> tuple[DataFrame, d
 
 
 def pair_scatter(df: DataFrame, names: Iterable[str], bins: int = 10) -> DataFrame:
-    """Counts on a bins x bins grid for every pair of columns (rows with a null left out)."""
+    """Counts on a bins x bins grid for every pair of columns (rows without two finite values left out)."""
     names = list(names)
     df, cell = _with_bins(df, names, bins)
     panels = [
@@ -210,7 +215,7 @@ def hexbin_counts(df: DataFrame, x: str, y: str, gridsize: int = 20, by: str | N
     """Counts per hexagon: the nearer centre of two shifted rectangular lattices."""
     rows = int(gridsize / math.sqrt(3))
     keep = [column(by)] if by else []
-    df = df.filter(column(x).isNotNull() & column(y).isNotNull())
+    df = df.filter(_finite(x).isNotNull() & _finite(y).isNotNull())
     df, box = attach_row(
         df,
         {

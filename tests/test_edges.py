@@ -204,10 +204,18 @@ def test_quantile_of_empty_frame(spark):
     assert exact_quantiles(spark.createDataFrame([], "x double"), ["x"], [0.5]).count() == 0
 
 
-def test_many_valued_class_column_is_refused(spark):
-    df = spark.range(5000).withColumn("x", F.lit(1.0))
-    with pytest.raises(ValueError, match="distinct"):
-        distribution.box_stats(df, ["x"], by="id")
+def test_boxes_of_many_classes(spark):
+    df = spark.range(6000).select((F.col("id") % 1500).alias("g"), F.col("id").cast("double").alias("x"))
+    got = {r["g"]: r["median"] for r in distribution.box_stats(df, ["x"], by="g").collect()}
+    assert got == {g: g + 2250.0 for g in range(1500)}
+
+
+def test_bins_leave_out_values_that_are_not_finite(spark):
+    rows = [(float(i), float(i % 2)) for i in range(10)] + [(math.nan, 1.0), (math.inf, 0.0)]
+    df = spark.createDataFrame(rows, "x double, y double")
+    assert sum(r["n"] for r in distribution.histogram(df, ["x"]).collect()) == 10
+    assert sum(r["n"] for r in distribution.hexbin_counts(df, "x", "y").collect()) == 10
+    assert all(math.isfinite(r["density"]) for r in distribution.kde_grid(df, ["x"]).collect())
 
 
 def test_chi_square_of_a_known_table(spark):
