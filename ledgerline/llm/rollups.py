@@ -11,7 +11,7 @@ many batches into one table.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 KEYS = ["source", "lang", "version"]
@@ -36,6 +36,40 @@ def changes(docs: DataFrame, version: str, sign: int = 1) -> DataFrame:
     )
 
 
+def later_copies(docs: DataFrame, versions: list[str]) -> DataFrame:
+    """Documents whose text a smaller doc_id has too, folded to ``source, lang, copies``.
+
+    One more column for each version holds the tokens of one such document.  A row stands
+    for the copies of one text in one source and language.  Only a digest and the counts
+    are shuffled, never the text, and copies are summed before that, so a text that fills
+    a third of the table is one row for each task.  Null texts are copies of each other; rows
+    with equal doc_id and text count as one document and its copies; a null doc_id comes
+    after all others.
+    """
+    text = F.col("text").cast("string")
+    named = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.sha2(text, 256).alias("digest"),
+        F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"),
+        *[token_count(text, v).alias(v) for v in versions],
+    )
+    folded = named.groupBy("digest", "source", "lang").agg(
+        F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first"), *[F.max(f"`{v}`").alias(v) for v in versions]
+    )
+    # rows of one text: one for each source and language that has it
+    place = F.row_number().over(Window.partitionBy("digest").orderBy(F.asc_nulls_last("first"), "source", "lang"))
+    copies = F.col("n") - (F.col("place") == 1).cast("long")
+    kept = folded.withColumn("place", place).withColumn("copies", copies).where("copies > 0")
+    return kept.select("source", "lang", "copies", *[f"`{v}`" for v in versions])
+
+
+def removals(copies: DataFrame, version: str) -> DataFrame:
+    """The signed changes that take the rows of ``later_copies`` out of the totals."""
+    return copies.select(
+        "source", "lang", F.lit(version).alias("version"),
+        (-F.col("copies")).alias("n_docs"), (-F.col("copies") * F.col(f"`{version}`")).alias("n_tokens"),
+    )
+
+
 def summed(rows: DataFrame) -> DataFrame:
     return rows.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import contamination, ngrams, packing, quality, rollups, substrings, suffixes, tokenfile, toxicity, vectors
-from ledgerline.sources.staging import new_path
+from ledgerline.sources.staging import new_path, stage
 
 PACKING_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 FILE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -62,13 +62,11 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     book.commit("arrivals", arrivals)
     german = docs.where(F.col("lang") == "de")
     book.commit("recount", rollups.changes(german, "alnum-1", -1).unionByName(rollups.changes(german, "mark-1")))
-    # a copy is told by its digest; first ids per digest are summed before the shuffle
-    named = docs.withColumn("digest", F.sha2("text", 256))
-    first = named.groupBy("digest").agg(F.min("doc_id").alias("first_id"))
-    copies = named.join(first, "digest").where(F.col("doc_id") > F.col("first_id"))
-    gone = rollups.changes(copies, "space-1", -1)
-    for version, mine in (("alnum-1", F.col("lang") != "de"), ("mark-1", F.col("lang") == "de")):
-        gone = gone.unionByName(rollups.changes(copies.where(mine), version, -1))
+    copies = stage(rollups.later_copies(docs, list(rollups.VERSIONS)), "copies")
+    mine = F.col("lang").eqNullSafe("de")
+    gone = rollups.removals(copies, "space-1")
+    gone = gone.unionByName(rollups.removals(copies.where(~mine), "alnum-1"))
+    gone = gone.unionByName(rollups.removals(copies.where(mine), "mark-1"))
     book.commit("copies", gone)
     return book.totals()
 

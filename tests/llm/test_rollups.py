@@ -46,5 +46,21 @@ def test_counts_match_python(sample):
         assert got == {r.doc_id: len(re.findall(pattern, r.text or "")) for r in sample.collect()}
 
 
+def test_later_copies_leave_one_of_each_text(spark):
+    same = [(i, "x y", "en" if i % 3 else "de", f"s{i % 2}", 0) for i in range(30, 10, -1)]
+    odd = [(3, None, "en", "s", 0), (5, None, None, None, 0), (None, "x y", "en", "s1", 0), (8, "z", "en", "s", 0)]
+    docs = spark.createDataFrame(A + same + odd, SCHEMA)
+    seen, want = set(), {}
+    ordered = sorted(A + same + odd, key=lambda r: (r[0] is None, r[0] or 0))
+    for _, text, lang, source, _ in ordered:
+        if text in seen:
+            n, tokens = want.get((source, lang), (0, 0))
+            want[source, lang] = n - 1, tokens - len(re.findall(rollups.VERSIONS["space-1"], text or ""))
+        seen.add(text)
+    gone = rollups.summed(rollups.removals(rollups.later_copies(docs, ["space-1"]), "space-1"))
+    assert {(r.source, r.lang): (r.n_docs, r.n_tokens) for r in gone.collect()} == want
+    assert rows(rollups.later_copies(docs.limit(0), ["space-1"])) == []
+
+
 def test_empty_table(spark):
     assert rows(rollups.summed(rollups.changes(spark.createDataFrame([], SCHEMA), "space-1"))) == []
