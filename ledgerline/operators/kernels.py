@@ -6,7 +6,7 @@ iteration over the rows.
 
 * ``rbf``: random Fourier features (Rahimi and Recht 2007)
 * ``poly``: random Maclaurin features of one degree (Kar and Karnick 2012)
-* ``sigmoid``: Nystroem map on a fixed number of landmark rows
+* ``sigmoid``: Nystroem map on landmark rows, chosen among the rows that the map is fitted on
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark import keyword_only
-from pyspark.ml import Transformer
+from pyspark.ml import Estimator, Transformer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.sql import DataFrame
@@ -70,7 +70,18 @@ def sigmoid_map(landmarks: np.ndarray):
     return lambda x: np.tanh(gamma * x @ landmarks.T) @ root
 
 
-def landmark_rows(scaled: DataFrame, key: str, count: int = 64, vector: str = "scaled_features") -> np.ndarray:
+class SigmoidLandmarks(Estimator):
+    """Fits the sigmoid map on ``count`` rows of the frame it is given, so on no held-out row."""
+
+    def __init__(self, key: str, count: int):
+        super().__init__()
+        self.key, self.count = key, count
+
+    def _fit(self, dataset: DataFrame) -> KernelMap:
+        return KernelMap(function=sigmoid_map(landmark_rows(dataset, self.key, self.count)))
+
+
+def landmark_rows(scaled: DataFrame, key: str, count: int, vector: str = "scaled_features") -> np.ndarray:
     """A fixed number of rows in the order of a hash of their key."""
     rows = scaled.orderBy(F.xxhash64(key), key).limit(count).select(vector).collect()
     return np.array([row[0].toArray() for row in rows])

@@ -253,8 +253,8 @@ def gridsearch_logreg(data: DataFrame, values: Sequence[float] = C_GRID, label:
     return _ranked(data.sparkSession, list(zip(map(float, penalties), found, strict=True)), "C double")
 
 
-def kernel_stages(kernel: str, data: DataFrame, width: int = 128) -> list:
-    """Scaler and, for other kernels than the linear one, the feature map."""
+def kernel_stages(kernel: str, data: DataFrame, width: int, landmarks: int) -> list:
+    """Scaler and, for other kernels than the linear one, the feature map; to be fitted on train rows."""
     features = len(data.select("features").head()[0])
     if kernel == "linear":
         return [scaler()]
@@ -263,8 +263,7 @@ def kernel_stages(kernel: str, data: DataFrame, width: int = 128) -> list:
     elif kernel == "poly":
         function = kernels.poly_map(features, width)
     else:
-        _, scaled = standardize(data)
-        function = kernels.sigmoid_map(kernels.landmark_rows(scaled, S.KEY, width // 2))
+        return [scaler(), kernels.SigmoidLandmarks(S.KEY, landmarks)]
     return [scaler(), kernels.KernelMap(function=function)]
 
 
@@ -273,14 +272,23 @@ def gridsearch_svm(
     values: Sequence[float] = C_GRID,
     kernel_names: Sequence[str] = kernels.KERNELS,
     label: str = S.LABEL,
+    width: int = 128,
+    landmarks: int = 64,
 ) -> DataFrame:
+    """Cross-validated accuracy per kernel and C.
+
+    ``width`` is the number of random features of the rbf and poly maps, whose error falls
+    with its square root; on 23 standard-normal inputs the rbf kernel is off by at most
+    about 0.4 at 128.  ``landmarks`` is the number of train rows that shape the sigmoid
+    map.  All rows are mapped, fitted and scored whatever the two are.
+    """
     penalties = _penalties(data, values)
 
     def search(kernel: str) -> list[tuple]:
         source = "scaled_features" if kernel == "linear" else "mapped_features"
         classifier = LinearSVC(featuresCol=source, labelCol=label, standardization=False, tol=SVM_TOLERANCE)
         grid = ParamGridBuilder().addGrid(classifier.regParam, list(penalties.values())).build()
-        found = cross_validate(data, kernel_stages(kernel, data), classifier, grid, label)
+        found = cross_validate(data, kernel_stages(kernel, data, width, landmarks), classifier, grid, label)
         return [(kernel, float(c), accuracy) for c, accuracy in zip(penalties, found, strict=True)]
 
     with ThreadPoolExecutor(len(kernel_names)) as pool:

@@ -23,15 +23,23 @@ from ledgerline.functions.typing import column
 from ledgerline.operators.profile import class_percentages
 
 TABLE_POINTS = 4001
-MAX_DECIMALS = 6
+EXACT_DIGITS = 15  # that every double holds; a value that needs more is continuous
 
 
 def decimals(value):
-    """Digits after the point that a value needs, up to ``MAX_DECIMALS``."""
-    need = F.lit(MAX_DECIMALS)
-    for d in range(MAX_DECIMALS - 1, -1, -1):
-        need = F.when(F.round(value, d) == value, d).otherwise(need)
-    return need
+    """Most digits after the point that a value of a column needs (an aggregate).
+
+    Null where some value needs more than ``EXACT_DIGITS`` after the point, or more in all
+    beside such digits, as quotients, means and inexact sums do: such a column is not rounded.
+    """
+    before = F.floor(F.log10(F.abs(value))).cast("int") + 1  # below zero for zeros after the point
+    continuous = EXACT_DIGITS + 1
+    need = F.when(value.isNull(), None).when(F.round(value, EXACT_DIGITS) != value, continuous)
+    need = need.when(F.round(value, 0) == value, 0)
+    for d in range(1, EXACT_DIGITS + 1):
+        need = need.when(F.round(value, d) == value, F.when(before + d <= EXACT_DIGITS, d).otherwise(continuous))
+    most = F.max(need)
+    return F.when(most <= EXACT_DIGITS, most)
 
 
 def _long(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -55,7 +63,7 @@ def metadata(df: DataFrame, names: Sequence[str]) -> DataFrame:
             F.min("value").alias("min"),
             F.max("value").alias("max"),
             F.count_if(F.col("value").isNull()).alias("n_null"),
-            F.max(decimals(F.col("value"))).alias("decimals"),
+            decimals(F.col("value")).alias("decimals"),
         )
         .select("column", type_of[F.col("column")].alias("data_type"), "min", "max", "n_null", "decimals")
     )
@@ -71,7 +79,7 @@ def beta_shape(df: DataFrame, names: Sequence[str]) -> DataFrame:
             F.max("value").alias("high"),
             F.avg("value").alias("mean"),
             F.var_pop("value").alias("var"),
-            F.max(decimals(F.col("value"))).alias("decimals"),
+            decimals(F.col("value")).alias("decimals"),
         )
     )
     width = F.col("high") - F.col("low")
@@ -85,12 +93,12 @@ def beta_shape(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 @dataclass(frozen=True)
 class Marginal:
-    """A column's distribution as a table from value to normal score."""
+    """A column's distribution as a table from value to normal score; no decimals: continuous."""
 
     name: str
     low: float
     high: float
-    decimals: int
+    decimals: int | None
     values: np.ndarray
     scores: np.ndarray
 
@@ -101,7 +109,7 @@ class Copula:
     correlation: np.ndarray
 
 
-def _marginal(name: str, low: float, high: float, alpha: float | None, beta: float | None, digits: int) -> Marginal:
+def _marginal(name: str, low: float, high: float, alpha: float | None, beta: float | None, digits: int | None) -> Marginal:
     if alpha is None or not high > low:
         return Marginal(name, low, high, digits, np.array([low, low]), np.array([-1.0, 1.0]))
     # x = sin(t)^2 spreads points towards both ends, where a beta density may be steep
@@ -187,7 +195,9 @@ def sample(spark: SparkSession, copula: Copula, rows: int, seed: int = 42) -> Da
             columns = [batch.column(0)]
             for i, (scores, values, low, high, digits) in enumerate(tables):
                 value = np.interp(drawn[:, i], scores, values)
-                columns.append(pa.array(np.clip(np.round(value, digits), low, high)))
+                if digits is not None:
+                    value = np.round(value, digits)
+                columns.append(pa.array(np.clip(value, low, high)))
             yield pa.RecordBatch.from_arrays(columns, names=["id", *names])
 
     return spark.range(rows).select("id", normals.alias("z")).mapInArrow(to_values, schema)

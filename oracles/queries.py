@@ -785,8 +785,13 @@ _synthetic = [*S.FEATURES, S.LABEL]
 
 
 def digits_needed(x: str) -> str:
-    cases = " ".join(f"WHEN round({x}, {d}) = {x} THEN {d}" for d in range(6))
-    return f"CASE {cases} ELSE 6 END"
+    """Most decimals of the column, read off its shortest texts; null beyond 15 of them or 15 digits in all."""
+    text = f"CAST({x} AS VARCHAR)"
+    tail = f"length(rtrim(split_part(split_part({text}, 'e', 1), '.', 2), '0'))"
+    need = f"greatest({tail} - coalesce(TRY_CAST(split_part({text}, 'e', 2) AS INTEGER), 0), 0)"
+    digits = f"length(ltrim(regexp_replace(split_part({text}, 'e', 1), '[-.]', '', 'g'), '0'))"
+    most = f"max(CASE WHEN {need} > 0 AND {digits} > 15 THEN 16 ELSE {need} END)"
+    return f"CAST(CASE WHEN {most} <= 15 THEN {most} END AS INTEGER)"
 
 
 clean(
@@ -795,7 +800,7 @@ clean(
         _synthetic,
         lambda c: f"{lit('int' if c in (*S.SCORES, S.LABEL) else 'double')} AS data_type, "
         f"{rnd(f'CAST(min({q(c)}) AS DOUBLE)', 4, 'min')}, {rnd(f'CAST(max({q(c)}) AS DOUBLE)', 4, 'max')}, "
-        f"{nulls(c)} AS n_null, max({digits_needed(f'CAST({q(c)} AS DOUBLE)')}) AS decimals",
+        f"{nulls(c)} AS n_null, {digits_needed(f'CAST({q(c)} AS DOUBLE)')} AS decimals",
         "clean",
     ),
 )

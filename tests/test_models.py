@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
@@ -93,6 +94,28 @@ def test_kernel_maps_approximate_their_kernels():
     assert np.allclose(z @ z.T, vectors * np.abs(values) @ vectors.T, atol=1e-6)
 
 
+def test_sigmoid_landmarks_come_from_fitted_rows(medium):
+    folded = models.folded(medium)
+    rest = folded.filter("fold != 0")
+    fitted = Pipeline(stages=models.kernel_stages("sigmoid", folded, 8, 16)).fit(rest)
+    _, scaled = prepare.standardize(rest)
+    marks = kernels.landmark_rows(scaled, S.KEY, 16)
+    x = np.array([r[0].toArray() for r in scaled.select("scaled_features").limit(5).collect()])
+    assert np.allclose(fitted.stages[1].function(x), kernels.sigmoid_map(marks)(x))
+
+
+def test_decimals_are_the_columns_own(spark):
+    rows = [(1 / 3, 1e-9, 2.5, 7.0, None), (0.5, 3e-9, 0.25, 1e6, None), (0.1, 2e-9, None, -3.0, None)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, e double")
+    got = {r["column"]: r["decimals"] for r in synth.metadata(df, df.columns).collect()}
+    assert got == {"a": None, "b": 9, "c": 2, "d": 0, "e": None}
+    copula = synth.fit(df, ["a", "b"])
+    drawn = synth.sample(spark, copula, 200).toPandas()
+    assert [m.decimals for m in copula.marginals] == [None, 9]
+    assert (drawn["a"].round(6) != drawn["a"]).mean() > 0.9
+    assert set(drawn["b"].round(12)) <= {1e-9, 2e-9, 3e-9} and drawn["b"].nunique() > 1
+
+
 def test_pipeline_scales_on_train_rows_only(medium):
     rows = split.split_hash(medium)
     train = models.part(rows, "train")
