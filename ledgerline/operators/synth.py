@@ -23,23 +23,29 @@ from ledgerline.functions.typing import column
 from ledgerline.operators.profile import class_percentages
 
 TABLE_POINTS = 4001
-EXACT_DIGITS = 15  # that every double holds; a value that needs more is continuous
+MOST_DECIMALS = 15
+SURE_DIGITS = 13  # of a double after some additions; a value that needs more is continuous
+NOISE = 4 * 2.0**-52  # relative error that additions in another order may leave
 
 
 def decimals(value):
     """Most digits after the point that a value of a column needs (an aggregate).
 
-    Null where some value needs more than ``EXACT_DIGITS`` after the point, or more in all
-    beside such digits, as quotients, means and inexact sums do: such a column is not rounded.
+    A value is exact at so many digits if it is that decimal but for float noise.  Null
+    where some value, as quotients do, needs more than ``SURE_DIGITS`` in all or
+    ``MOST_DECIMALS`` after the point: such a column is not rounded.
     """
     before = F.floor(F.log10(F.abs(value))).cast("int") + 1  # below zero for zeros after the point
-    continuous = EXACT_DIGITS + 1
-    need = F.when(value.isNull(), None).when(F.round(value, EXACT_DIGITS) != value, continuous)
-    need = need.when(F.round(value, 0) == value, 0)
-    for d in range(1, EXACT_DIGITS + 1):
-        need = need.when(F.round(value, d) == value, F.when(before + d <= EXACT_DIGITS, d).otherwise(continuous))
-    most = F.max(need)
-    return F.when(most <= EXACT_DIGITS, most)
+    continuous = MOST_DECIMALS + 1
+
+    def exact(d: int):
+        return F.abs(F.round(value, d) - value) <= NOISE * F.abs(value)
+
+    need = F.when(value.isNull(), None).when(exact(0), 0)
+    for d in range(1, MOST_DECIMALS + 1):
+        need = need.when(before + d > SURE_DIGITS, continuous).when(exact(d), d)
+    most = F.max(need.otherwise(continuous))
+    return F.when(most <= MOST_DECIMALS, most)
 
 
 def _long(df: DataFrame, names: Sequence[str]) -> DataFrame:

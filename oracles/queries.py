@@ -785,12 +785,12 @@ _synthetic = [*S.FEATURES, S.LABEL]
 
 
 def digits_needed(x: str) -> str:
-    """Most decimals of the column, read off its shortest texts; null beyond 15 of them or 15 digits in all."""
-    text = f"CAST({x} AS VARCHAR)"
+    """Most decimals of the column, read off texts of 13 digits; null where these are not the value."""
+    text = f"printf('%.12e', {x})"
     tail = f"length(rtrim(split_part(split_part({text}, 'e', 1), '.', 2), '0'))"
-    need = f"greatest({tail} - coalesce(TRY_CAST(split_part({text}, 'e', 2) AS INTEGER), 0), 0)"
-    digits = f"length(ltrim(regexp_replace(split_part({text}, 'e', 1), '[-.]', '', 'g'), '0'))"
-    most = f"max(CASE WHEN {need} > 0 AND {digits} > 15 THEN 16 ELSE {need} END)"
+    need = f"greatest({tail} - CAST(split_part({text}, 'e', 2) AS INTEGER), 0)"
+    off = f"abs(CAST({text} AS DOUBLE) - {x}) > abs({x}) * pow(2, -50)"
+    most = f"max(CASE WHEN {x} IS NULL THEN NULL WHEN {off} THEN 16 ELSE {need} END)"
     return f"CAST(CASE WHEN {most} <= 15 THEN {most} END AS INTEGER)"
 
 
