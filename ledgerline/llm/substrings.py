@@ -1,15 +1,17 @@
 """Removal of repeated word spans by compaction of a de Bruijn graph.
 
-Every window of ``k`` words is an edge between two nodes of ``k - 1`` words.  An edge's key
-is its left node's hash with the low bits replaced by the whole window's hash, so the
-edges that leave a node are neighbours in key order.
+Every window of ``k`` words is an edge between two nodes of ``k - 1`` words, known by its
+64-bit hash; nodes have 64-bit hashes of their own.
 
 1. Every block of documents sends its distinct edges, once each, to their key range.
-2. A key range joins the blocks' edge lists: edges of an earlier block, edges of several
-   blocks, and nodes that repeated edges leave in more than one direction.
-3. The answers are joined to the blocks.  Consecutive repeated edges of a document, cut
+2. A key range joins the blocks' edge lists: edges of an earlier block and edges of
+   several blocks.
+3. Every block sends the nodes that its repeated edges leave, with the number of those
+   edges that no earlier block has.  Each repeated edge is counted once that way, so the
+   sums of a key range tell the nodes that are left in more than one direction.
+4. The answers are joined to the blocks.  Consecutive repeated edges of a document, cut
    at branching nodes, are compacted to paths, kept with their coordinates.
-4. ``compacted_paths`` joins equal paths of all documents to one row with its source.
+5. ``compacted_paths`` joins equal paths of all documents to one row with its source.
 
 Decisions are exact up to equal 64-bit hashes of different windows.
 """
@@ -17,21 +19,25 @@ Decisions are exact up to equal 64-bit hashes of different windows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.blocks import BlockTexts, answers, binary_column, block_words, blocked, covered, per_block, per_part
-from ledgerline.llm.blocks import runs, spread, with_answers
+from ledgerline.llm.blocks import rows_table, runs, spread, with_answers
 from ledgerline.llm.spans import NOT_SPACE, U64, joined_hashes, ragged, starts_within
 
-LOW = U64((1 << 24) - 1)
-EARLIER, REPEATED, BRANCHING = 1, 2, 4
+EARLIER, REPEATED = 1, 2
+BRANCHING = 1  # of nodes
 
 SENT = "block int, part int, keys binary"
 SENT_ARROW = pa.schema([("block", pa.int32()), ("part", pa.int32()), ("keys", pa.binary())])
+NODES = f"{SENT}, counts binary"
+NODES_ARROW = SENT_ARROW.append(pa.field("counts", pa.binary()))
 PATH = pa.struct([("start", pa.int64()), ("n_words", pa.int64()), ("head", pa.int64()), ("tail", pa.int64())])
 OUT = (
     "doc_id long, n_words long, n_removed long, kept_text string, "
@@ -39,13 +45,25 @@ OUT = (
 )
 
 
-def _edges(texts: BlockTexts, k: int):
-    """Word ranges of a block, and the places and keys of its edges."""
+@dataclass
+class Edges:
+    """Word ranges of a block, and the places, windows and nodes of its edges."""
+
+    starts: np.ndarray
+    ends: np.ndarray
+    first: np.ndarray
+    at: np.ndarray
+    windows: np.ndarray
+    words: np.ndarray
+
+    def nodes(self, k: int) -> np.ndarray:
+        return joined_hashes(self.words, k - 1)[self.at] if k > 1 else np.zeros(len(self.at), U64)
+
+
+def _edges(texts: BlockTexts, k: int) -> Edges:
     starts, ends, first, words = block_words(texts, NOT_SPACE)
     at = starts_within(first, k)
-    nodes = joined_hashes(words, k - 1)[at] if k > 1 else np.zeros(len(at), U64)
-    keys = (nodes & ~LOW) | (joined_hashes(words, k)[at] & LOW)
-    return starts, ends, first, at, keys
+    return Edges(starts, ends, first, at, joined_hashes(words, k)[at], words)
 
 
 def _join_edges(table: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
@@ -58,38 +76,69 @@ def _join_edges(table: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
     new[1:] = ordered[1:] != ordered[:-1]
     group = np.cumsum(new) - 1
     repeated = np.bincount(group) > 1
-    node = ordered[new] & ~LOW
-    # repeated edges that leave each node
-    node_new = np.ones(len(node), bool)
-    node_new[1:] = node[1:] != node[:-1]
-    node_group = np.cumsum(node_new) - 1
-    branching = (np.bincount(node_group, weights=repeated) > 1)[node_group]
     flags = np.empty(len(keys), np.uint8)
-    flags[order] = ~new * EARLIER + (repeated * REPEATED + branching * BRANCHING)[group]
+    flags[order] = ~new * EARLIER + (repeated * REPEATED)[group]
+    at = 0
+    for block, each in zip(table.column("block").to_pylist(), lists, strict=True):
+        yield block, flags[at : at + len(each)]
+        at += len(each)
+
+
+def _join_nodes(table: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+    """Whether each block's nodes are left by more than one repeated edge of any block."""
+    lists = [np.frombuffer(x, U64) for x in table.column("keys").to_pylist()]
+    counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.uint8)
+    _, group = np.unique(np.concatenate(lists), return_inverse=True)
+    flags = (np.bincount(group, weights=counts) > 1)[group] * np.uint8(BRANCHING)
     at = 0
     for block, each in zip(table.column("block").to_pylist(), lists, strict=True):
         yield block, flags[at : at + len(each)]
         at += len(each)
 
 
-def _remove(texts: BlockTexts, flags: np.ndarray, k: int) -> pa.Table:
-    starts, ends, first, at, keys = _edges(texts, k)
-    unique, index, inverse = np.unique(keys, return_index=True, return_inverse=True)
-    doc_of_word = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    rank = texts.rank[doc_of_word[at]] if len(at) else np.zeros(0, np.int64)
+def _repeats(texts: BlockTexts, edges: Edges, flags: np.ndarray):
+    """Which edges are repeated, which an earlier document has, and which are their window's
+    first in the block while no earlier block has it."""
+    unique, index, inverse = np.unique(edges.windows, return_index=True, return_inverse=True)
+    doc_of_word = np.repeat(np.arange(len(edges.first) - 1), np.diff(edges.first))
+    rank = texts.rank[doc_of_word[edges.at]] if len(edges.at) else np.zeros(0, np.int64)
     if len(flags) != len(unique):  # rows without an id: nothing was sent
         flags = np.zeros(len(unique), np.uint8)
-    known = flags[inverse]
     copied = rank > rank[index][inverse]  # an earlier document of the same block has it
-    several = np.zeros(len(unique), bool)
+    several = flags & REPEATED > 0
     several[inverse[copied]] = True
-    repeated = (known & REPEATED > 0) | several[inverse]
+    repeated = several[inverse]
+    earlier = (flags & EARLIER > 0)[inverse]
+    leading = np.zeros(len(inverse), bool)
+    leading[index] = True
     if texts.ids.null_count:
         repeated[:] = copied[:] = False
-    gone = covered(len(starts), at[(known & EARLIER > 0) | copied], k)
+    return repeated, earlier | copied, leading & ~earlier, doc_of_word
+
+
+def _send_nodes(block: int, texts: BlockTexts, back: pa.Table, k: int, parts: int) -> pa.Table:
+    if block < 0:
+        return rows_table([], NODES_ARROW)
+    edges = _edges(texts, k)
+    repeated, _, leading, _ = _repeats(texts, edges, answers(back))
+    nodes, inverse = np.unique(edges.nodes(k)[repeated], return_inverse=True)
+    own = np.bincount(inverse, weights=leading[repeated], minlength=len(nodes))
+    counts = np.minimum(own, 2).astype(np.uint8)  # two are as good as more
+    return rows_table(list(spread(block, nodes, parts, {"counts": counts})), NODES_ARROW)
+
+
+def _remove(texts: BlockTexts, back: pa.Table, k: int) -> pa.Table:
+    edges = _edges(texts, k)
+    starts, ends, first, at = edges.starts, edges.ends, edges.first, edges.at
+    of_nodes = back.column("of_nodes")
+    repeated, earlier, _, doc_of_word = _repeats(texts, edges, answers(back.filter(pc.invert(of_nodes))))
+    gone = covered(len(starts), at[earlier], k)
+    branching = np.zeros(len(at), bool)
+    _, inverse = np.unique(edges.nodes(k)[repeated], return_inverse=True)
+    branching[repeated] = answers(back.filter(of_nodes))[inverse] & BRANCHING > 0
 
     # paths: runs of repeated edges at consecutive places of one document
-    breaks = np.flatnonzero((np.diff(at, prepend=-2) != 1) | (known & BRANCHING > 0))
+    breaks = np.flatnonzero((np.diff(at, prepend=-2) != 1) | branching)
     a, b = runs(repeated, breaks)
     doc_first = first[:-1]
     path_doc = doc_of_word[at[a]] if len(a) else np.zeros(0, np.int64)
@@ -98,8 +147,8 @@ def _remove(texts: BlockTexts, flags: np.ndarray, k: int) -> pa.Table:
         [
             pa.array(at[a] - doc_first[path_doc]),
             pa.array(b - a + k - 1),
-            pa.array(keys[a].view(np.int64)),
-            pa.array(keys[b - 1].view(np.int64)),
+            pa.array(edges.windows[a].view(np.int64)),
+            pa.array(edges.windows[b - 1].view(np.int64)),
         ],
         fields=list(PATH),
     )
@@ -132,7 +181,7 @@ def remove_repeated_words(docs: DataFrame, k: int = 13) -> DataFrame:
     """Cut every word covered by a window of ``k`` words that a smaller doc_id also has.
 
     One row for each row of ``docs``: ``doc_id, n_words, n_removed, kept_text`` and the
-    repeated ``paths`` of the document (first word, words, keys of the first and last
+    repeated ``paths`` of the document (first word, words, hashes of the first and last
     edge).  Words are runs of bytes other than ASCII white space, kept unchanged and
     joined by one space.  Null and empty texts have no words and give an empty text; rows
     with equal doc_id don't count as earlier than each other; a null doc_id takes no part
@@ -142,10 +191,14 @@ def remove_repeated_words(docs: DataFrame, k: int = 13) -> DataFrame:
     parts = made.parts
 
     def send(block: int, texts: BlockTexts) -> Iterator[dict]:
-        yield from spread(block, np.unique(_edges(texts, k)[-1]), parts)
+        yield from spread(block, np.unique(_edges(texts, k).windows), parts)
 
     flags = per_part(per_block(made, send, SENT, SENT_ARROW), _join_edges)
-    return with_answers(made, flags, lambda _, texts, back: _remove(texts, answers(back), k), OUT)
+    nodes = with_answers(made, flags, lambda block, texts, back: _send_nodes(block, texts, back, k, parts), NODES)
+    both = flags.withColumn("of_nodes", F.lit(False)).unionByName(
+        per_part(nodes, _join_nodes).withColumn("of_nodes", F.lit(True))
+    )
+    return with_answers(made, both, lambda _, texts, back: _remove(texts, back, k), OUT)
 
 
 def compacted_paths(removed: DataFrame) -> DataFrame:
