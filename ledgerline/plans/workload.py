@@ -83,6 +83,12 @@ def adapter_credit_raw(spark, sf_dir):
     return C.cast_double(credit_raw(spark, sf_dir), S.RAW_NUMERIC)
 
 
+@query(digits=4)
+def adapter_credit_raw_all_years(spark, sf_dir):
+    """The raw table with every year of the orders in one of its three periods."""
+    return C.cast_double(credit_raw(spark, sf_dir, years=None), S.RAW_NUMERIC)
+
+
 @query("raw", 4)
 def prepare_canonical(raw):
     return presets.canonical(raw)

@@ -71,8 +71,27 @@ SUM_COLUMNS = [
 ]
 
 
-def customer_sums(orders: DataFrame, per_order: DataFrame) -> DataFrame:
-    """Fold orders into one row per customer, the three periods side by side."""
+def period_band(year: Column, low: Column, high: Column) -> Column:
+    """Place of a year's band, 0 the newest, when all years are cut into three consecutive bands.
+
+    The bands differ by one year at most, newer ones being the longer; fewer than three
+    years leave the older bands empty.
+    """
+    return F.floor((high - year) * len(S.PERIODS) / (high - low + 1)).cast("int")
+
+
+def band_end(band: int, low: Column, high: Column) -> Column:
+    return (high - F.ceil(band * (high - low + 1) / F.lit(len(S.PERIODS)))).cast("int")
+
+
+def customer_sums(
+    orders: DataFrame, per_order: DataFrame, years: dict[str, int] | None = PERIOD_YEARS
+) -> DataFrame:
+    """Fold orders into one row per customer, the three periods side by side.
+
+    ``years`` names one year for each period; None cuts the table's own range of years
+    into three bands, so that every dated order belongs to a period.
+    """
     year = F.year("o_orderdate")
     joined = orders.select(
         "o_orderkey",
@@ -82,15 +101,35 @@ def customer_sums(orders: DataFrame, per_order: DataFrame) -> DataFrame:
         year.alias("y"),
         F.expr("shiftleft(1, month(o_orderdate))").alias("month_bit"),
     ).join(per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    if years is None:
+        bounds = orders.agg(F.min(year).alias("low"), F.max(year).alias("high"))
+        joined = joined.withColumn("range", bounds.select(F.struct("*")).scalar())
+        low, high = F.col("range.low"), F.col("range.high")
+        # months of different years are different months: one bit set for each year first
+        lined = F.col("n_lines").isNotNull()
+        joined = joined.groupBy("o_custkey", "y", "range").agg(
+            F.sum("total").alias("total"),
+            F.max_by("o_orderpriority", "o_orderkey").alias("o_orderpriority"),
+            F.max("o_orderkey").alias("o_orderkey"),
+            *[F.sum(c).alias(c) for c in SUM_COLUMNS],
+            F.bit_count(F.bit_or(F.when(lined, F.col("month_bit")))).alias("months"),
+        )
+        within = {p: period_band(F.col("y"), low, high) == i for i, p in enumerate(S.PERIODS)}
+        ends = {p: F.max(band_end(i, low, high)) for i, p in enumerate(S.PERIODS)}
+        months = lambda mine: F.sum(F.when(mine, F.col("months")))
+    else:
+        within = {p: F.col("y") == year_of for p, year_of in years.items()}
+        ends = {p: F.max(F.lit(year_of)) for p, year_of in years.items()}
+        months = lambda mine: F.bit_count(F.bit_or(F.when(mine, F.col("month_bit"))))
     aggregates = [
         F.sum("total").alias("total"),
         F.max_by("o_orderpriority", "o_orderkey").alias("last_priority"),
         F.sum("n_lines").alias("n_lines"),
     ]
-    for prefix, period_year in PERIOD_YEARS.items():
-        in_period = (F.col("y") == period_year) & F.col("n_lines").isNotNull()
+    for prefix, mine in within.items():
+        in_period = mine & F.col("n_lines").isNotNull()
         aggregates += [F.sum(F.when(in_period, F.col(c))).alias(f"{prefix}_{c}") for c in SUM_COLUMNS]
-        aggregates.append(F.bit_or(F.when(in_period, F.col("month_bit"))).alias(f"{prefix}_months"))
+        aggregates += [months(in_period).alias(f"{prefix}_months"), ends[prefix].alias(f"{prefix}_end")]
     return joined.groupBy("o_custkey").agg(*aggregates)
 
 
@@ -99,7 +138,7 @@ def _period_measures(p: str) -> dict[str, Column]:
         return F.col(f"{p}_{name}")
 
     return {
-        "number_months": F.when(c("n_lines").isNotNull(), F.bit_count(c("months"))),
+        "number_months": F.when(c("n_lines").isNotNull(), c("months").cast("int")),
         "revenue": c("revenue") / F.lit(1e4),
         "EBIT": c("ebit") / F.lit(1e4),
         "depreciation": c("depreciation") / F.lit(1e4),
@@ -119,10 +158,10 @@ def _period_measures(p: str) -> dict[str, Column]:
     }
 
 
-def credit_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw credit table: ``contract_id`` plus 78 text columns."""
+def credit_raw(spark: SparkSession, sf_dir: str, years: dict[str, int] | None = PERIOD_YEARS) -> DataFrame:
+    """The raw credit table: ``contract_id`` plus 78 text columns; ``years`` as in ``customer_sums``."""
     sums = customer_sums(
-        load_table(spark, sf_dir, "orders"), order_sums(load_table(spark, sf_dir, "lineitem"))
+        load_table(spark, sf_dir, "orders"), order_sums(load_table(spark, sf_dir, "lineitem")), years
     )
     customer = load_table(spark, sf_dir, "customer")
     nation = load_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -172,7 +211,9 @@ def credit_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         "legal_form": F.lit("LTD"),
         "type_of_data": F.lit("annual"),
         **{
-            long: F.when(F.col(f"{prefix}_n_lines").isNotNull(), f"{PERIOD_YEARS[prefix]}-12-31")
+            long: F.when(
+                F.col(f"{prefix}_n_lines").isNotNull(), F.concat(F.col(f"{prefix}_end").cast("string"), F.lit("-12-31"))
+            )
             for prefix, long in S.PERIODS.items()
         },
         **measures,

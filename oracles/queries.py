@@ -7,8 +7,10 @@ from itertools import combinations
 
 from ledgerline import schema as S
 from oracles import labels as L
+from oracles.bands import BANDS, raw_of_bands
 from oracles.base import (
     CANONICAL_NUMERIC,
+    LINES,
     NAMED,
     NUMERIC,
     cols,
@@ -819,3 +821,8 @@ def beta_row(c: str) -> str:
 
 
 clean("copula_beta_shape", long_union(_synthetic, beta_row, "clean"))
+
+# --- whole jobs beside the narrower ones above -----------------------------------------
+SQL["adapter_credit_raw_all_years"] = (
+    f"WITH {LINES},\n{BANDS},\n{raw_of_bands()}\nSELECT contract_id, {cols(_text)}, {rnds(S.RAW_NUMERIC, 4)} FROM raw"
+)
