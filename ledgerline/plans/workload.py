@@ -351,6 +351,16 @@ def join_fold_equi(raw):
     return joins.join_fold([nulls(c) for c in ("customer_name", "total_exposure", "current_period_revenue")], "market")
 
 
+@query("raw")
+def join_fold_all_columns(raw):
+    """The fold over the null counts of all raw columns."""
+    typed = C.cast_double(raw, S.RAW_NUMERIC)
+    counts = [
+        missing.agg_conditional_sum(typed, "market", c).withColumnRenamed("n_null", f"null_{c}") for c in S.RAW_COLUMNS
+    ]
+    return joins.join_fold(counts, "market")
+
+
 @query("canonical", 4)
 def join_by_row_id(clean):
     x, y = split.split_features_label(clean, ["revenue", "current_ratio"])
@@ -527,6 +537,16 @@ def kde_grid_log1p(clean):
     return distribution.kde_grid(C.log1p_features(clean), names, ties=False)
 
 
+@query("canonical", 6)
+def kde_grid_log_columns(clean):
+    return distribution.kde_grid(C.log1p_features(clean), [f"log1p_{c}" for c in S.LOG_COLUMNS], ties=False)
+
+
+@query("canonical", 4)
+def box_stats_log_columns(clean):
+    return distribution.box_stats(C.log1p_features(clean), [f"log1p_{c}" for c in S.LOG_COLUMNS])
+
+
 @query("canonical", 6)
 def linear_fit(clean):
     return distribution.linear_fit(clean, "CR_Rating_score", "pmt_discipline_score")
@@ -637,6 +657,18 @@ def split_features_label(clean):
     return wide.withColumn("y", positive.select(F.struct("*")).scalar()).select("revenue", "EBIT", "n_x", "y.*")
 
 
+@query("canonical", 4)
+def features_frame(clean):
+    """The X of ``split_features_label``."""
+    return split.split_features_label(clean, S.FEATURES)[0]
+
+
+@query("canonical")
+def label_frame(clean):
+    """The y of ``split_features_label``."""
+    return split.split_features_label(clean, S.FEATURES)[1]
+
+
 @query("canonical")
 def cv_folds(clean):
     return split.cv_folds(clean).select(S.KEY, S.LABEL, "fold")

@@ -826,3 +826,11 @@ clean("copula_beta_shape", long_union(_synthetic, beta_row, "clean"))
 SQL["adapter_credit_raw_all_years"] = (
     f"WITH {LINES},\n{BANDS},\n{raw_of_bands()}\nSELECT contract_id, {cols(_text)}, {rnds(S.RAW_NUMERIC, 4)} FROM raw"
 )
+raw(
+    "join_fold_all_columns",
+    "SELECT market, " + ", ".join(f"{nulls(c)} AS {q('null_' + c)}" for c in S.RAW_COLUMNS) + " FROM raw GROUP BY market",
+)
+SQL["kde_grid_log_columns"] = more("clean", kde(LOGS, LOGGED))
+SQL["box_stats_log_columns"] = more("clean", boxes(LOGS, LOGGED))
+clean("features_frame", f"SELECT contract_id, {rnds(_doubles, 4)}, {cols(S.SCORES)} FROM clean")
+clean("label_frame", "SELECT contract_id, target_variable FROM clean")
