@@ -13,6 +13,19 @@ def fold() -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS
 
 
+def usable_labels(labels: DataFrame, label: str) -> DataFrame:
+    """``doc_id, label``, one row for each id outside fold 0; of repeated labels the larger counts."""
+    usable = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
+    usable = usable.where(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & (fold() != 0))
+    return usable.groupBy("doc_id").agg(F.max("label").alias("label"))
+
+
+def class_counts(labels: DataFrame, label: str) -> list[int]:
+    """How many usable labels are 0 and how many 1."""
+    counted = {r.label: r["count"] for r in usable_labels(labels, label).groupBy("label").count().collect()}
+    return [counted.get(x, 0) for x in (0, 1)]
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> DataFrame:
     """``doc_id, text, lang, label`` of at most ``per_class`` rows of either class, held-out rows never.
 
@@ -20,9 +33,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     run and grows no further once both classes are full.  A null label or id is no row; of
     repeated labels for an id the larger counts; ids without a document drop out.
     """
-    usable = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
-    usable = usable.where(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & (fold() != 0))
-    usable = usable.groupBy("doc_id").agg(F.max("label").alias("label"))
+    usable = usable_labels(labels, label)
     picked = [usable.where(F.col("label") == x).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for x in (0, 1)]
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                         F.col("lang").cast("string").alias("lang"))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.labelled import fold, labelled_sample
+from ledgerline.llm.labelled import class_counts, fold, labelled_sample
 from ledgerline.llm.spans import NOT_SPACE, pieces, running, span_hashes, text_bytes, word_ranges
 
 PER_CLASS = 6000  # labelled rows of either class that are fitted at most
@@ -237,8 +237,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: i
     """A model from at most ``2 * per_class`` labelled rows outside fold 0.
 
     Executors compute the features; the driver gets one small row for each sampled text.
-    The intercept is set back to the classes' shares among all labelled rows.  Without
-    labelled rows every text gets 0.5.
+    The intercept is set back to the classes' shares among all labels outside fold 0.
+    Without labelled rows every text gets 0.5.
     """
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,8 +253,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: i
         return Additive()
     y = np.array([r.label for r in got], float)
     model = train(np.stack([np.frombuffer(bytes(r.x), np.float32) for r in got]), y)
-    counted = labels.where(F.col(label).isin(0, 1)).groupBy(F.col(label).cast("int").alias("label")).count().collect()
-    n = [sum(r["count"] for r in counted if r.label == k) + 0.5 for k in (0, 1)]
+    n = [count + 0.5 for count in class_counts(labels, label)]
     if 0 < y.sum() < len(y):
         model.intercept += float(np.log(n[1] / n[0]) - np.log(y.sum() / (len(y) - y.sum())))
     return model
