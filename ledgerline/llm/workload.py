@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import contamination, ngrams, packing, quality, rollups, substrings, suffixes, tokenfile, toxicity, vectors
+from ledgerline.llm import (
+    contamination,
+    fingerprints,
+    ngrams,
+    packing,
+    quality,
+    rollups,
+    runs,
+    substrings,
+    suffixes,
+    tokenfile,
+    toxicity,
+    vectors,
+    whitening,
+)
 from ledgerline.sources.staging import new_path, stage
 
 PACKING_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -93,6 +107,47 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_with_next(table(spark, sf_dir, "documents"))
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """``docs`` where the text of every tenth, by a hash of its id, repeats from some word on.
+
+    With h the crc32 of the decimal doc_id and g = floor(h / 10), texts of n > 0 words and h % 10 = 0
+    have, from word a = g % n on, the original words a, a + 1, .. of period
+    p = 1 + floor((n - a) / (3 + g % 8) ), again and again.
+    """
+    h = F.crc32(F.col("doc_id").cast("long").cast("string").cast("binary"))
+    planted = docs.withColumn("words", F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), 1)))
+    g, n = F.floor(h / 10), F.size("words")
+    a = (g % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    front, back = F.slice("words", 1, a), F.slice("words", a + 1, p)
+    text = F.array_join(F.slice(F.concat(front, F.flatten(F.array_repeat(back, 12))), 1, n), " ")
+    return planted.withColumn("text", F.when(n > 0, text).otherwise(F.col("text"))).drop("words")
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.repeated_runs(with_planted_runs(table(spark, sf_dir, "documents")))
+    # exact order by length / period: products of numbers of words
+    before = lambda x, y: F.when(x.length * y.period != y.length * x.period, F.sign(y.length * x.period - x.length * y.period)).otherwise(
+        F.when(x.start != y.start, F.sign(x.start - y.start)).otherwise(F.sign(x.period - y.period))
+    ).cast("int")
+    best = F.get(F.array_sort("runs", before), F.lit(0))
+    line = lambda r: F.concat_ws(",", r.start, r.length, r.period)
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"), F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"), F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("kept_text", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -104,6 +159,9 @@ QUERIES = {
     "op8_vector_near_dup": op8_vector_near_dup,
     "op9_token_files": op9_token_files,
     "op10_decontamination": op10_decontamination,
+    "op11_whitening": op11_whitening,
+    "op12_fingerprints": op12_fingerprints,
+    "op13_runs": op13_runs,
 }
 
 SQL: dict[str, str] = {
