@@ -27,6 +27,7 @@ COMPONENTS = 8
 LIMIT = 1 << 40  # entries beyond are taken as this
 LIMB = 20  # bits; products of two limbs summed over a block stay below 2 ** 53
 ROUNDS = 60
+TURN = 0.01  # radians that a step may turn a vector towards another
 WIDE = np.longdouble
 
 OUT = "vec_id long, component int, n long, deviation long, whitened double, explained double"
@@ -148,53 +149,64 @@ def scatter(vectors: DataFrame, centre: np.ndarray) -> np.ndarray:
     return out
 
 
-def clusters(values: np.ndarray, near: WIDE) -> list[np.ndarray]:
-    """Places of eigenvalues in chains whose neighbours are at most ``near`` apart."""
-    order = np.argsort(values)
-    cuts = np.flatnonzero(np.diff(values[order]) > near) + 1
-    return [x for x in np.split(order, cuts) if len(x) > 1]
+def clusters(linked: np.ndarray) -> list[np.ndarray]:
+    """Groups of places that are linked, directly or over others."""
+    label = np.arange(len(linked))
+    while True:
+        low = np.minimum(label, np.where(linked, label[None, :], len(label)).min(1))
+        if (low == label).all():
+            return [np.flatnonzero(label == x) for x in np.unique(label[linked.any(1)])]
+        label = low
+
+
+def orthonormal(x: np.ndarray) -> np.ndarray:
+    """The nearest orthonormal vectors to nearly orthonormal ones."""
+    for _ in range(3):
+        x = x + x @ (np.eye(x.shape[1], dtype=WIDE) - x.T @ x) / 2
+    return x
 
 
 def refined(a: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Eigenvalues and vectors of the symmetric ``a``, from approximate vectors ``x``.
 
-    A step leaves pairs of eigenvalues alone that lie nearer than its own error.  Once the
-    others are right, each such cluster is solved on its own: the matrix there, less its
-    middle value and scaled to its own width, goes to an ordinary solver, whose vectors are
-    refined on.  Equal eigenvalues keep some basis of their space.
+    A step corrects a pair of vectors where that turns them little against the gap between
+    their values; elsewhere it only makes them orthogonal.  Vectors of values too near for that
+    are solved on the space they span: the matrix there, less its middle value and scaled to
+    its own width, goes to an ordinary solver, and the refinement goes on.  Values that agree
+    within the rounding of the wide numbers keep some basis of their space.
     """
     d = len(a)
     one = np.eye(d, dtype=WIDE)
-    tiny = 4 * d * np.finfo(WIDE).eps
-    size = np.sqrt((a * a).sum())
+    eps = 4 * d * np.finfo(WIDE).eps
+    noise = eps * np.sqrt((a * a).sum())
     before = WIDE(np.inf)
     for _ in range(ROUNDS):
         r = one - x.T @ x
         s = x.T @ a @ x
         s = (s + s.T) / 2  # else rounding over a small gap would bend the vectors towards each other
         values = np.diag(s) / (1 - np.diag(r))
-        off = np.sqrt(((s - np.diag(values)) ** 2).sum()) + size * np.sqrt((r * r).sum())
-        near = 2 * off
         gap = values[None, :] - values[:, None]
-        apart = np.abs(gap) > near
-        step = np.where(apart, (s + values[None, :] * r) / np.where(apart, gap, 1), r / 2)
+        wrong = s + values[None, :] * r
+        open_ = np.maximum(np.abs(wrong), np.abs(wrong.T)) > noise
+        np.fill_diagonal(open_, False)
+        apart = open_ & (np.abs(wrong) <= TURN * np.abs(gap)) & (np.abs(wrong.T) <= TURN * np.abs(gap))
+        step = np.where(apart, wrong / np.where(apart, gap, 1), r / 2)
         x = x + x @ step
+        near = open_ & ~apart
         moved = np.abs(step).max()
-        if moved <= tiny or moved >= before / 2:
-            # what is left between far values is rounding; clusters come next
-            groups = [g for g in clusters(values, near) if np.abs((s - np.diag(values))[np.ix_(g, g)]).max() > tiny * size]
-            if not groups:
-                break
-            for g in groups:
-                inner = x[:, g].T @ a @ x[:, g]
-                inner = (inner + inner.T) / 2 - np.diag(np.full(len(g), np.diag(inner).mean()))
+        if near.any() and moved < TURN:
+            for g in clusters(near):
+                own = orthonormal(x[:, g])
+                inner = own.T @ a @ own
+                inner = (inner + inner.T) / 2 - np.diag(inner).mean() * (own.T @ own)
                 _, turn = np.linalg.eigh((inner / np.abs(inner).max()).astype(np.float64))
-                x[:, g] = x[:, g] @ turn.astype(WIDE)
+                x[:, g] = own @ turn.astype(WIDE)
             before = WIDE(np.inf)
+        elif moved <= eps or not open_.any() and moved >= before / 2:
+            break
         else:
             before = moved
-    for _ in range(2):  # the nearest orthonormal vectors
-        x = x + x @ (one - x.T @ x) / 2
+    x = orthonormal(x)
     return np.diag(x.T @ a @ x).copy(), x
 
 
