@@ -25,6 +25,8 @@ from ledgerline.llm.tokens import encoder
 from ledgerline.sources.staging import new_path, stage
 
 BLOCK_IDS = 1 << 18  # ids of a block, unless one document has more
+SHARD_IDS = 1 << 23  # ids of a shard, about
+PREFIX = 16  # bytes of its ids that part the rows of one doc_id among shards
 
 # lengths of the four ids of each control byte
 LENGTHS = (np.arange(256)[:, None] >> np.arange(0, 8, 2)) % 4 + 1
@@ -110,13 +112,14 @@ def write_tokens(docs: DataFrame, vocabulary: str, end_id: int, path: str, shard
     """Write the token files of all documents under ``path``, in ascending order of doc_id.
 
     Null and empty texts are ``end_id`` alone; a null doc_id comes first; rows with equal
-    doc_id stand side by side, ordered by their ids; an empty table gives a file set
-    without blocks.
+    doc_id stand side by side, ordered by their ids, and may spread over shards; other
+    columns are ignored; an empty table gives a file set without blocks.  The number of
+    shards follows from the number of ids unless it is given.
     """
     spark = docs.sparkSession
     kind = _width(vocabulary, end_id)
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ids = stage(tokenized(docs, vocabulary, end_id), "ids")
+    shards = shards or 1 + (ids.agg(F.sum("n_tokens")).first()[0] or 0) // SHARD_IDS
     stage_path = f"{path}/ranks"
     frequency_ranks(ids, kind).write.parquet(stage_path)
     # bounded by the vocabulary: one small integer for each id
@@ -155,7 +158,8 @@ def write_tokens(docs: DataFrame, vocabulary: str, end_id: int, path: str, shard
         if held:
             yield made()
 
-    ordered = ids.select("doc_id", "ids").repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "ids")
+    front = F.substring("ids", 1, PREFIX)  # grows with the ids, so ranges keep their order
+    ordered = ids.select("doc_id", "ids").repartitionByRange(shards, "doc_id", front).sortWithinPartitions("doc_id", "ids")
     ordered.mapInArrow(encode, BLOCKS).write.parquet(f"{path}/blocks")
 
 
@@ -166,10 +170,10 @@ BLOCKS_ARROW = pa.schema(
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
-    """``shard, block, place, doc_id, n_tokens, ids`` of every document of a file set.
+    """``shard, block, before, doc_id, n_tokens, ids`` of every document of a file set.
 
-    ``ids`` are the token ids, little-endian and 32 bits each; ``place`` counts documents
-    inside their block.
+    ``ids`` are the token ids, little-endian and 32 bits each; ``before`` counts those of the
+    documents before it in its block.
     """
     table = spark.read.parquet(f"{path}/ranks").collect()  # bounded by the vocabulary
     by_rank = np.zeros(len(table), np.uint32)
@@ -188,33 +192,33 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
                     [
                         pa.array(np.full(n, row["shard"], np.int32)),
                         pa.array(np.full(n, row["block"], np.int32)),
-                        pa.array(np.arange(n, dtype=np.int32)),
+                        pa.array(np.cumsum(counts) - counts),
                         pa.array(doc_ids, mask=~present),
                         pa.array(counts),
                         binary_column(ids.astype("<u4").view(np.uint8), counts * 4),
                     ],
-                    names=["shard", "block", "place", "doc_id", "n_tokens", "ids"],
+                    names=["shard", "block", "before", "doc_id", "n_tokens", "ids"],
                 )
 
     return spark.read.parquet(f"{path}/blocks").mapInArrow(
-        decode, "shard int, block int, place int, doc_id long, n_tokens long, ids binary"
+        decode, "shard int, block int, before long, doc_id long, n_tokens long, ids binary"
     )
 
 
-def positions(read: DataFrame) -> DataFrame:
-    """``read`` with ``start``: the ids of all documents before each one.
+def positions(read: DataFrame, path: str) -> DataFrame:
+    """Rows of ``read_tokens`` with ``start``: the ids of all documents before each one.
 
-    Totals are carried over at three levels, so no task orders more than one block's
-    documents, one shard's blocks, or the list of shards.
+    The blocks' sizes are columns of the files, so that nothing is decoded for them.  Totals
+    are carried over at two levels: no task orders more than one shard's blocks, or the list
+    of shards.
     """
-    blocks = read.groupBy("shard", "block").agg(F.sum("n_tokens").alias("n"))
-    shards = blocks.groupBy("shard").agg(F.sum("n").alias("n"))
+    blocks = read.sparkSession.read.parquet(f"{path}/blocks").select("shard", "block", "n_ids")
+    shards = blocks.groupBy("shard").agg(F.sum("n_ids").alias("n"))
     running = lambda what, w: F.coalesce(F.sum(what).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     shard_start = shards.select("shard", running("n", Window.orderBy("shard")).alias("of_shard"))
-    block_start = blocks.select("shard", "block", running("n", Window.partitionBy("shard").orderBy("block")).alias("of_block"))
-    own = read.withColumn("own", running("n_tokens", Window.partitionBy("shard", "block").orderBy("place")))
-    joined = own.join(block_start, ["shard", "block"]).join(shard_start, "shard")
-    return joined.withColumn("start", F.col("of_shard") + F.col("of_block") + F.col("own"))
+    block_start = blocks.select("shard", "block", running("n_ids", Window.partitionBy("shard").orderBy("block")).alias("of_block"))
+    joined = read.join(block_start.join(shard_start, "shard"), ["shard", "block"])
+    return joined.withColumn("start", F.col("of_shard") + F.col("of_block") + F.col("before"))
 
 
 def new_file_set(spark: SparkSession) -> str:

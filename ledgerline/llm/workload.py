@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,8 +22,15 @@ from ledgerline.llm import (
 )
 from ledgerline.sources.staging import new_path, stage
 
-PACKING_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
-FILE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PACKING_VOCABULARY = "word_bpe_49k.json"
+FILE_VOCABULARY = "byte_bpe_50k.json"
+
+
+def vocabulary(name: str) -> str:
+    """The path of a public vocabulary file; only the queries that tokenize need the package."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,7 +45,7 @@ def packed(pieces: DataFrame) -> DataFrame:
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packed(packing.pack(table(spark, sf_dir, "documents"), PACKING_VOCABULARY))
+    return packed(packing.pack(table(spark, sf_dir, "documents"), vocabulary(PACKING_VOCABULARY)))
 
 
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,9 +102,9 @@ def op8_vector_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenfile.new_file_set(spark)
-    tokenfile.write_tokens(table(spark, sf_dir, "documents"), FILE_VOCABULARY, 2, path)
+    tokenfile.write_tokens(table(spark, sf_dir, "documents"), vocabulary(FILE_VOCABULARY), 2, path)
     read = tokenfile.read_tokens(spark, path).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
-    return tokenfile.positions(read).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return tokenfile.positions(read, path).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

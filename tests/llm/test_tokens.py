@@ -15,6 +15,7 @@ WORD, BYTE = (public_tokenizers.path(n) for n in ("word_bpe_49k.json", "byte_bpe
 ENCODERS = {p: (Encoder(p), Tokenizer.from_file(p)) for p in (WORD, BYTE)}
 ODD = ["", " ", "a", "it's we'LL 've", "a  b\n\nc \n d\t\te", "é́ é ́x", "x y   z", " a b　 c",
        "<|endoftext|> a <|endoftext|>b", "x" * 300 + " " + "y1" * 80, "\x00\x1f a\x7f b\x85", "ΑΣ ΣΑΣ İ ǅ", "12 345,6 -- !!\n", "\n", "\na", "a\n",
+       "don't, can't. (it's) ÀÉ, é. ÿ! ×, ÷. a<\u0338 a=\u0338 x|y a.b-c_d 'sx. 'S, re're!", "a<|endoftext|>, b.<|endoftext|>.",
        "emoji 😀 😀😀 a😀 b", "\x1ca \x1d b\x0b c"]
 
 
@@ -39,6 +40,13 @@ def test_ids_of_odd_white_space(texts):
     agrees(BYTE, texts)
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(st.sampled_from("abÀé×÷ÿ 'sretl.,|<>-_1中\u0301\u0338"), max_size=30), max_size=4))
+def test_ids_of_odd_punctuation(texts):
+    agrees(WORD, texts)
+    agrees(BYTE, texts)
+
+
 def check_pieces(rows, docs, capacity=packing.CAPACITY):
     by_doc, by_sequence = {}, {}
     for r in rows:
@@ -103,11 +111,12 @@ def test_coding_round_trip(ranks):
 def test_token_files_round_trip(spark, texts, sample, monkeypatch):
     monkeypatch.setattr(tokenfile, "BLOCK_IDS", 1000)
     plain = ENCODERS[BYTE][1]
-    edge = texts([(9, "a b"), (None, "q"), (3, None), (3, ""), (7, "word " * 3000)])
+    edge = texts([(9, "a b"), (None, "q"), (3, None), (3, ""), (7, "word " * 3000)] + [(3, f"{i} x") for i in range(60)])
+    edge = edge.selectExpr("*", "'x' AS ids", "1 AS shard", "2 AS before")
     for docs, shards in ((sample, 5), (edge, 3), (texts([]), 2)):
         path = tokenfile.new_file_set(spark)
         tokenfile.write_tokens(docs, BYTE, 2, path, shards)
-        rows = tokenfile.positions(tokenfile.read_tokens(spark, path)).orderBy("start").collect()
+        rows = tokenfile.positions(tokenfile.read_tokens(spark, path), path).orderBy("start").collect()
         want = [(r.doc_id, [*plain.encode(r.text or "", add_special_tokens=False).ids, 2]) for r in docs.collect()]
         want.sort(key=lambda x: (x[0] is not None, x[0] or 0, np.array(x[1], "<u2").tobytes()))
         assert [(r.doc_id, np.frombuffer(bytes(r.ids), "<u4").tolist()) for r in rows] == want
