@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import contamination, ngrams, packing, suffixes, toxicity
-from ledgerline.llm.workload import PACKING_VOCABULARY, packed, table
+from ledgerline.llm.workload import PACKING_VOCABULARY, packed, table, vocabulary
 from ledgerline.sources.staging import stage
 
 
@@ -50,7 +50,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packed(packing.pack(docs, PACKING_VOCABULARY))
+    return packed(packing.pack(docs, vocabulary(PACKING_VOCABULARY)))
 
 
 STAGES = [
