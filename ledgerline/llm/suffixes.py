@@ -1,16 +1,18 @@
-"""Removal of repeated byte strings with a logarithmic family of sparse suffix arrays.
+"""Removal of repeated byte strings with a logarithmic family of sorted fingerprint sets.
 
-Suffixes are sampled by content: every window of ``width`` bytes is anchored at the least
-hash among its ``gram``-byte strings.  Consecutive windows with the same anchor value form
+The levels stand in for suffix arrays: they hold 64-bit fingerprints of strings of the texts in
+ascending order and are searched for equal ones; no suffixes are ordered and no match lengths
+computed.  Strings are sampled by content: every window of ``width`` bytes is anchored at the
+least hash among its ``gram``-byte strings.  Consecutive windows with the same anchor value form
 a unit, so a passage that two documents share is cut into the same units in both, save
-those that reach beyond its ends.  Arrays are ordered by fingerprints of 64 bits.
+those that reach beyond its ends.
 
 1. Every block of documents sends its distinct units, ordered by anchor.  A key range takes
-   the blocks in ascending order as batches: each batch's array is merge-scanned against
-   the levels built so far, then becomes a level, and levels of like size are merged.  A
-   unit found in a level is removed whole.
+   the blocks in ascending order as batches: each batch's set is looked up in the levels built
+   so far, then becomes a level, and levels of like size are merged.  A unit found in a level
+   is removed whole.
 2. Units that are new but share their anchor with a different unit can share part of their
-   bytes.  Only their windows are sent, and scanned the same way, window by window.
+   bytes.  Only their windows are sent, and looked up the same way, window by window.
 
 Results are exact up to equal fingerprints of different strings.
 """
@@ -240,6 +242,11 @@ def remove_repeated_bytes(docs: DataFrame, width: int = 50, gram: int = GRAM, ca
 
 def kept_text(kept: Column) -> Column:
     """Kept bytes as text; parts of characters that a cut has split are dropped."""
-    # a lead byte without all of its trailing bytes, or trailing bytes without a lead
-    whole = F.udf(lambda b: None if b is None else bytes(b).decode("utf-8", "ignore"), "string")
+
+    @F.arrow_udf("string")
+    def whole(column: pa.Array) -> pa.Array:
+        # a lead byte without all of its trailing bytes, or trailing bytes without a lead
+        texts = [None if b is None else b.decode("utf-8", "ignore") for b in column.to_pylist()]
+        return pa.array(texts, pa.string())
+
     return whole(kept)
