@@ -25,8 +25,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.blocks import BlockTexts, answers, binary_column, block_words, blocked, per_block, per_part, spread
-from ledgerline.llm.blocks import with_answers
+from ledgerline.llm.blocks import (
+    BlockTexts,
+    answers,
+    binary_column,
+    block_words,
+    blocked,
+    part_bounds,
+    per_block,
+    per_part,
+    spread,
+    with_answers,
+)
 from ledgerline.llm.graph import components
 from ledgerline.llm.spans import LOWER, NOT_SPACE, U64, joined_hashes, mix
 from ledgerline.sources.staging import stage
@@ -37,6 +47,7 @@ ROWS = "doc_id long, n long, k1 long, k2 long, columns array<long>, places array
 PRODUCT_ROWS = 256  # rows multiplied with a centre in one task
 FEW_PAIRS = 4  # open pairs for each entry, from which all are counted
 MOST_ROUNDS = 3
+SLICE_KEYS = 1 << 20  # n-grams of a key range that are counted at a time
 HOT_ROWS = 64  # of a column, from which its open pairs are counted block by block
 OWN_BLOCKS = 32  # rows of a component that gets blocks of its own
 
@@ -62,16 +73,29 @@ def _sets(texts: BlockTexts, width: int) -> list[np.ndarray]:
 
 
 def _rarity(table: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
-    """0 for n-grams of one document, else a class that grows with the logarithm of their number."""
-    lists = [np.frombuffer(x, np.uint32) for x in table.column("keys").to_pylist()]
-    counts = np.concatenate([np.frombuffer(x, np.uint16) for x in table.column("counts").to_pylist()])
-    _, inverse = np.unique(np.concatenate(lists), return_inverse=True)
-    total = np.bincount(inverse, weights=counts)
-    classes = np.where(total > 1, np.minimum(255, 1 + 4 * np.log2(total)), 0).astype(np.uint8)[inverse]
-    at = 0
-    for block, each in zip(table.column("block").to_pylist(), lists, strict=True):
-        yield block, classes[at : at + len(each)]
-        at += len(each)
+    """0 for n-grams of one document, else a class that grows with the logarithm of their number.
+
+    The ascending keys of all blocks are counted a slice of their range at a time.
+    """
+    table = table.combine_chunks()
+    read = lambda name, kind: [np.frombuffer(x.as_buffer(), kind) for x in table.column(name).chunk(0)]
+    lists, counts = read("keys", np.uint32), read("counts", np.uint16)
+    classes = [np.zeros(len(x), np.uint8) for x in lists]
+    longest = max(lists, key=len)
+    # the block with the most keys cuts the range into slices of like size
+    many = -(-sum(map(len, lists)) // SLICE_KEYS)
+    cuts = np.unique(longest[np.arange(1, many) * len(longest) // many])
+    edges = [[0, *np.searchsorted(x, cuts).tolist(), len(x)] for x in lists]
+    for s in range(len(cuts) + 1):
+        slices = [slice(e[s], e[s + 1]) for e in edges]
+        _, inverse = np.unique(np.concatenate([x[r] for x, r in zip(lists, slices, strict=True)]), return_inverse=True)
+        total = np.bincount(inverse, weights=np.concatenate([x[r] for x, r in zip(counts, slices, strict=True)]))
+        found = np.where(total > 1, np.minimum(255, 1 + 4 * np.log2(np.maximum(total, 1))), 0).astype(np.uint8)[inverse]
+        at = 0
+        for out, r in zip(classes, slices, strict=True):
+            out[r] = found[at : at + r.stop - r.start]
+            at += r.stop - r.start
+    yield from zip(table.column("block").to_pylist(), classes, strict=True)
 
 
 def _matrix_rows(texts: BlockTexts, flags: np.ndarray, width: int, percent: int) -> pa.Table:
@@ -282,7 +306,10 @@ def similar_documents(docs: DataFrame, width: int = 4, percent: int = 85) -> Dat
     def send(block: int, texts: BlockTexts) -> Iterator[dict]:
         every = np.concatenate([np.zeros(0, U64), *_sets(texts, width)])
         keys, counts = np.unique(every, return_counts=True)
-        low = (keys & U64(0xFFFFFFFF)).astype(np.uint32)
+        # 32 bits of each key that keep the order inside its key range
+        bounds = part_bounds(parts)
+        base = bounds[np.searchsorted(bounds, keys, "right") - 1]
+        low = ((keys - base) >> U64(33 - parts.bit_length())).astype(np.uint32)
         extra = {"low": low, "counts": np.minimum(counts, 0xFFFF).astype(np.uint16)}
         for row in spread(block, keys, parts, extra):
             yield {"block": row["block"], "part": row["part"], "keys": row["low"], "counts": row["counts"]}

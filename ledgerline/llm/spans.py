@@ -7,6 +7,7 @@ of ``(byte + 1) * BASE ** position`` modulo 2 ** 64, divided by ``BASE ** start`
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,6 +25,7 @@ NOT_SPACE = ~ASCII_SPACE
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 
+_libc = ctypes.CDLL(None)
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -70,8 +72,17 @@ def window_hashes(sums: np.ndarray, width: int) -> np.ndarray:
     return mix(raw + U64(width * 0xD6E8FEB86659FD93 % 2**64))
 
 
+def give_back() -> None:
+    """Return freed memory to the system, which workers that live on would keep for themselves."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(_libc, "malloc_trim", None)  # of the GNU library only
+    if trim is not None:
+        trim(0)
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string column and its offsets; null reads as empty."""
+    give_back()  # of the batch or block before
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if column.null_count:

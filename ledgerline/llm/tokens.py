@@ -17,7 +17,7 @@ import pyarrow as pa
 
 from ledgerline.llm.spans import PIECE, U64, pieces, ragged, running, span_hashes, text_bytes
 
-KEPT_PIECES = 1_000_000  # known pieces of a task before it drops those met once, which bounds memory
+KEPT_PIECES = 600_000  # known pieces of a task before it drops those met once, which bounds memory
 LONGEST = 64  # bytes of a piece that is looked up; longer ones are rare and always encoded
 
 _encoders: dict[str, Encoder] = {}
