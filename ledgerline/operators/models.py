@@ -1,13 +1,10 @@
-"""Classifiers on standardised features, and grids over them."""
+"""Classifiers on standardised features."""
 
 from __future__ import annotations
 
 import time
-from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Sequence
 
-from pyspark import inheritable_thread_target
-from pyspark.ml import Pipeline
 from pyspark.ml.base import Model
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -18,26 +15,18 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline import schema as S
 from ledgerline.functions.typing import column
-from ledgerline.operators import kernels
 from ledgerline.operators.evaluate import auc_pr, auc_roc, class_metrics
-from ledgerline.operators.prepare import assemble_features, scaler, standardize
-from ledgerline.operators.split import cv_folds, split_hash
+from ledgerline.operators.prepare import assemble_features, standardize
+from ledgerline.operators.split import split_hash
 from ledgerline.sources.staging import stage
 
-# --- fixed values: grid, stopping rules and network of the tuned models ---------------------------------
-C_GRID = [0.001, 0.01, 0.1, 1, 10]
+# --- fixed values: network of the tuned perceptron -------------------------------------------------------
 HIDDEN_LAYERS = [100, 50]
-FOLDS = 5
-LOGREG_LIMITS = {"maxIter": 1000, "tol": 1e-4}
-SVM_TOLERANCE = 1e-3
-
-
 
 MODELS = ("logistic_regression", "linear_svm", "naive_bayes", "random_forest", "decision_tree")
 
@@ -188,122 +177,6 @@ def timing(data: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
     return data.sparkSession.createDataFrame(rows, "model string, fit_seconds double, score_seconds double")
 
 
-# --- grids ---------------------------------------------------------------------------------
-def folded(
-    df: DataFrame, features: Sequence[str] = S.FEATURES, label: str = S.LABEL, train: float = 0.7
-) -> DataFrame:
-    """Train rows with their fold and unscaled vector; folds scale for themselves."""
-    rows = split_hash(assemble_features(df, features), train).filter("split = 'train'")
-    narrow = rows.select(column(S.KEY), column(label), "features")
-    return stage(cv_folds(narrow, label, FOLDS), "folded")
-
-
-def _fold_accuracies(
-    data: DataFrame, stages: Sequence, classifier, grid: Sequence[Mapping], label: str, fold: int
-) -> list[float]:
-    """Accuracy on one fold per grid point; the fold's inputs are prepared and written once."""
-    rest = data.filter(F.col("fold") != fold)
-    ready = Pipeline(stages=list(stages)).fit(rest).transform(data)
-    vectors = stage(ready.select(column(label), "fold", classifier.getFeaturesCol()), "fold")
-    train, held_out = vectors.filter(F.col("fold") != fold), vectors.filter(F.col("fold") == fold)
-    hits = []
-    for i, params in enumerate(grid):
-        model = classifier.fit(train, params)
-        model.setPredictionCol(f"prediction_{i}")
-        held_out = model.transform(held_out).select(*map(column, held_out.columns), f"prediction_{i}")
-        hits.append(F.avg((F.col(f"prediction_{i}") == column(label)).cast("double")))
-    return list(held_out.agg(*hits).first())
-
-
-def cross_validate(
-    data: DataFrame, stages: Sequence, classifier, grid: Sequence[Mapping], label: str = S.LABEL
-) -> list[float]:
-    """Mean accuracy over the folds per grid point.
-
-    The stages are fitted on the other folds only.  Folds run side by side; all
-    models of a fold are scored in one pass over it.
-    """
-    with ThreadPoolExecutor(FOLDS) as pool:
-        work = inheritable_thread_target(data.sparkSession)(
-            lambda fold: _fold_accuracies(data, stages, classifier, grid, label, fold)
-        )
-        by_fold = list(pool.map(work, range(FOLDS)))
-    return [sum(scores) / FOLDS for scores in zip(*by_fold, strict=True)]
-
-
-def _penalties(data: DataFrame, values: Sequence[float]) -> dict[float, float]:
-    """regParam for each C: one over C times the rows a fold is fitted on."""
-    fitted_on = data.count() * (FOLDS - 1) / FOLDS
-    return {c: 1.0 / (c * fitted_on) for c in values}
-
-
-def _ranked(spark, rows: list[tuple], schema: str) -> DataFrame:
-    best = max(row[-1] for row in rows)
-    table = spark.createDataFrame(rows, schema + ", accuracy double")
-    return table.withColumn("is_best", F.col("accuracy") == F.lit(best))
-
-
-def gridsearch_logreg(data: DataFrame, values: Sequence[float] = C_GRID, label: str = S.LABEL) -> DataFrame:
-    classifier = LogisticRegression(
-        featuresCol="scaled_features", labelCol=label, elasticNetParam=0.0, standardization=False, **LOGREG_LIMITS
-    )
-    penalties = _penalties(data, values)
-    grid = ParamGridBuilder().addGrid(classifier.regParam, list(penalties.values())).build()
-    found = cross_validate(data, [scaler()], classifier, grid, label)
-    return _ranked(data.sparkSession, list(zip(map(float, penalties), found, strict=True)), "C double")
-
-
-def kernel_stages(kernel: str, data: DataFrame, width: int, landmarks: int) -> list:
-    """Scaler and, for other kernels than the linear one, the feature map; to be fitted on train rows."""
-    features = len(data.select("features").head()[0])
-    if kernel == "linear":
-        return [scaler()]
-    if kernel == "rbf":
-        function = kernels.rbf_map(features, width)
-    elif kernel == "poly":
-        function = kernels.poly_map(features, width)
-    else:
-        return [scaler(), kernels.SigmoidLandmarks(S.KEY, landmarks)]
-    return [scaler(), kernels.KernelMap(function=function)]
-
-
-def gridsearch_svm(
-    data: DataFrame,
-    values: Sequence[float] = C_GRID,
-    kernel_names: Sequence[str] = kernels.KERNELS,
-    label: str = S.LABEL,
-    width: int = 128,
-    landmarks: int = 64,
-) -> DataFrame:
-    """Cross-validated accuracy per kernel and C.
-
-    ``width`` is the number of random features of the rbf and poly maps, whose error falls
-    with its square root; on 23 standard-normal inputs the rbf kernel is off by at most
-    about 0.4 at 128.  ``landmarks`` is the number of train rows that shape the sigmoid
-    map.  All rows are mapped, fitted and scored whatever the two are.
-    """
-    penalties = _penalties(data, values)
-
-    def search(kernel: str) -> list[tuple]:
-        source = "scaled_features" if kernel == "linear" else "mapped_features"
-        classifier = LinearSVC(featuresCol=source, labelCol=label, standardization=False, tol=SVM_TOLERANCE)
-        grid = ParamGridBuilder().addGrid(classifier.regParam, list(penalties.values())).build()
-        found = cross_validate(data, kernel_stages(kernel, data, width, landmarks), classifier, grid, label)
-        return [(kernel, float(c), accuracy) for c, accuracy in zip(penalties, found, strict=True)]
-
-    with ThreadPoolExecutor(len(kernel_names)) as pool:
-        searches = pool.map(inheritable_thread_target(data.sparkSession)(search), kernel_names)
-        rows = [row for found in searches for row in found]
-    return _ranked(data.sparkSession, rows, "kernel string, C double")
-
-
-def gridsearch_nb(data: DataFrame, label: str = S.LABEL) -> DataFrame:
-    """Plain cross-validated accuracy: the grid has one point."""
-    classifier = NaiveBayes(modelType="gaussian", featuresCol="scaled_features", labelCol=label)
-    found = cross_validate(data, [scaler()], classifier, ParamGridBuilder().build(), label)
-    return _ranked(data.sparkSession, [("naive_bayes", found[0])], "model string")
-
-
 def fit_perceptron(data: DataFrame, features: int, classes: int = 2, label: str = S.LABEL):
     """Feed-forward network with two hidden layers on standardised inputs."""
     network = MultilayerPerceptronClassifier(

@@ -86,5 +86,5 @@ def class_ratio(df: DataFrame, label: str) -> DataFrame:
 
 def class_percentages(df: DataFrame, label: str) -> DataFrame:
     counts = df.groupBy(column(label)).agg(F.count(F.lit(1)).alias("n"))
-    whole = F.sum("n").over(Window.partitionBy(F.lit(0)))  # one row per class
+    whole = df.agg(F.count(F.lit(1)).alias("whole")).scalar()
     return counts.select(column(label), "n", (F.col("n") * 100 / whole).alias("percentage"))

@@ -209,10 +209,31 @@ def sample(spark: SparkSession, copula: Copula, rows: int, seed: int = 42) -> Da
     return spark.range(rows).select("id", normals.alias("z")).mapInArrow(to_values, schema)
 
 
-def compare(real: DataFrame, synthetic: DataFrame, label: str) -> DataFrame:
-    """Class shares of both frames side by side."""
-    parts = [
-        class_percentages(frame.withColumn(label, column(label).cast("int")), label).withColumn("source", F.lit(name))
-        for name, frame in (("real", real), ("synthetic", synthetic))
-    ]
-    return parts[0].unionByName(parts[1])
+def compare(real: DataFrame, synthetic: DataFrame, label: str, names: Sequence[str] = ()) -> DataFrame:
+    """Long table (measure, name, real, synthetic, gap) of two frames.
+
+    Measures: the ``share`` of each class in percent, the ``mean`` of each column of ``names`` and its
+    sample ``spread``; one aggregate for each frame and kind.  The gap is synthetic less real;
+    a class that only one frame has, has share 0 in the other.
+    """
+    sides = {"real": real, "synthetic": synthetic}
+
+    def shares(name: str, frame: DataFrame) -> DataFrame:
+        typed = frame.withColumn(label, column(label).cast("int"))
+        found = class_percentages(typed, label)
+        return found.select(F.lit("share").alias("measure"), column(label).cast("string").alias("name"), F.col("percentage").alias(name))
+
+    def moments(name: str, frame: DataFrame) -> DataFrame:
+        both = [(kind, c, f(column(c).cast("double"))) for kind, f in (("mean", F.avg), ("spread", F.stddev_samp)) for c in names]
+        row = frame.agg(*[value.alias(f"v{i}") for i, (*_, value) in enumerate(both)])
+        cells = [F.struct(F.lit(k).alias("measure"), F.lit(c).alias("name"), F.col(f"v{i}").alias(name)) for i, (k, c, _) in enumerate(both)]
+        return row.select(F.inline(F.array(*cells)))
+
+    def side(name: str, frame: DataFrame) -> DataFrame:
+        return shares(name, frame).unionByName(moments(name, frame)) if names else shares(name, frame)
+
+    one, other = (side(name, frame) for name, frame in sides.items())
+    # a row for each class and column
+    joined = one.join(other, ["measure", "name"], "full")
+    known = {c: F.when(F.col("measure") == "share", F.coalesce(c, F.lit(0.0))).otherwise(F.col(c)) for c in sides}
+    return joined.withColumns(known).withColumn("gap", F.col("synthetic") - F.col("real"))

@@ -18,11 +18,11 @@ from ledgerline.functions.ratios import discipline_score, rating_score
 from ledgerline.functions.typing import column
 from ledgerline.operators import columns as C
 from ledgerline.operators import correlate, distribution, evaluate, filters, joins, missing, models
-from ledgerline.operators import prepare, profile, rules, split, synth
+from ledgerline.operators import prepare, profile, rules, selection, split, synth
 from ledgerline.plans import presets
 from ledgerline.sources import tables
 from ledgerline.sources.staging import new_path, stage
-from ledgerline.sources.statements import credit_raw, load_table
+from ledgerline.sources.statements import PERIOD_YEARS, credit_raw, load_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,7 +43,7 @@ def staged(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _tables[key]
 
 
-MODEL_INPUTS = {"prepared": models.prepared, "folded": models.folded}
+MODEL_INPUTS = {"prepared": models.prepared, "folded": selection.folded}
 
 
 def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
@@ -85,8 +85,13 @@ def adapter_credit_raw(spark, sf_dir):
 
 @query(digits=4)
 def adapter_credit_raw_all_years(spark, sf_dir):
-    """The raw table with every year of the orders in one of its three periods."""
-    return C.cast_double(credit_raw(spark, sf_dir, years=None), S.RAW_NUMERIC)
+    return adapter_credit_raw(spark, sf_dir)
+
+
+@query(digits=4)
+def adapter_credit_raw_fixed_years(spark, sf_dir):
+    """The raw table with one named year for each period; orders of other years enter the totals only."""
+    return C.cast_double(credit_raw(spark, sf_dir, PERIOD_YEARS), S.RAW_NUMERIC)
 
 
 @query("raw", 4)
@@ -343,22 +348,15 @@ def null_to_zero_when(raw):
 # --- joins ------------------------------------------------------------------------------------
 @query("raw")
 def join_fold_equi(raw):
-    typed = C.cast_double(raw, ["total_exposure", "current_period_revenue"])
-
-    def nulls(name):
-        return missing.agg_conditional_sum(typed, "market", name).withColumnRenamed("n_null", f"null_{name}")
-
-    return joins.join_fold([nulls(c) for c in ("customer_name", "total_exposure", "current_period_revenue")], "market")
+    """The null counts of every raw column by market, folded on the market."""
+    typed = C.cast_double(raw, S.RAW_NUMERIC)
+    flags = [(f"null_{c}", typed, column(c).isNull().cast("long")) for c in S.RAW_COLUMNS]
+    return joins.merge_sums(flags, "market")
 
 
 @query("raw")
 def join_fold_all_columns(raw):
-    """The fold over the null counts of all raw columns."""
-    typed = C.cast_double(raw, S.RAW_NUMERIC)
-    counts = [
-        missing.agg_conditional_sum(typed, "market", c).withColumnRenamed("n_null", f"null_{c}") for c in S.RAW_COLUMNS
-    ]
-    return joins.join_fold(counts, "market")
+    return join_fold_equi(raw)
 
 
 @query("canonical", 4)
@@ -533,8 +531,7 @@ def kde_grid(clean):
 
 @query("canonical", 6)
 def kde_grid_log1p(clean):
-    names = ["log1p_current_assets", "log1p_short_term_liab"]
-    return distribution.kde_grid(C.log1p_features(clean), names, ties=False)
+    return distribution.kde_grid(C.log1p_features(clean), [f"log1p_{c}" for c in S.LOG_COLUMNS], ties=False)
 
 
 @query("canonical", 6)
@@ -651,10 +648,9 @@ def split_hash(clean):
 
 @query("canonical", 4)
 def split_features_label(clean):
+    """X and y, put together again by key."""
     x, y = split.split_features_label(clean, S.FEATURES)
-    wide = x.agg(*[F.sum(column(c)).alias(c) for c in ("revenue", "EBIT")], F.count(F.lit(1)).alias("n_x"))
-    positive = y.agg(F.count(F.lit(1)).alias("n_y"), F.sum(S.LABEL).alias("n_positive"))
-    return wide.withColumn("y", positive.select(F.struct("*")).scalar()).select("revenue", "EBIT", "n_x", "y.*")
+    return joins.join_on_key(x, y)
 
 
 @query("canonical", 4)
@@ -744,17 +740,38 @@ def naive_bayes_params(clean):
 
 @query("folded", 6)
 def gridsearch_logreg(data):
-    return models.gridsearch_logreg(data)
+    return selection.gridsearch_logreg(data)
 
 
 @query("folded", 6)
 def gridsearch_svm(data):
-    return models.gridsearch_svm(data)
+    return selection.gridsearch_svm(data)
 
 
 @query("folded", 6)
 def gridsearch_nb(data):
-    return models.gridsearch_nb(data)
+    return selection.gridsearch_nb(data)
+
+
+@query("folded", 6)
+def tuned_logreg(data):
+    return selection.tuned_logreg(data)
+
+
+@query("folded", 6)
+def tuned_svm(data):
+    return selection.tuned_svm(data)
+
+
+@query("folded", 6)
+def tuned_nb(data):
+    return selection.tuned_nb(data)
+
+
+@query("prepared", 6)
+def perceptron_report(data):
+    """Accuracy, report and confusion of the neural net on train and test rows."""
+    return selection.model_report(models.scored(models.fit_perceptron(data, len(S.FEATURES)), data))
 
 
 @query("prepared", 6)
@@ -860,4 +877,4 @@ def copula_sample(clean):
 @query("canonical", 6)
 def synthetic_vs_real(clean):
     synthetic = synth.sample(clean.sparkSession, synth.fit(clean, SYNTHETIC), clean.count())
-    return synth.compare(clean, synthetic, S.LABEL)
+    return synth.compare(clean, synthetic, S.LABEL, S.FEATURES)

@@ -85,7 +85,7 @@ def band_end(band: int, low: Column, high: Column) -> Column:
 
 
 def customer_sums(
-    orders: DataFrame, per_order: DataFrame, years: dict[str, int] | None = PERIOD_YEARS
+    orders: DataFrame, per_order: DataFrame, years: dict[str, int] | None = None
 ) -> DataFrame:
     """Fold orders into one row per customer, the three periods side by side.
 
@@ -158,7 +158,7 @@ def _period_measures(p: str) -> dict[str, Column]:
     }
 
 
-def credit_raw(spark: SparkSession, sf_dir: str, years: dict[str, int] | None = PERIOD_YEARS) -> DataFrame:
+def credit_raw(spark: SparkSession, sf_dir: str, years: dict[str, int] | None = None) -> DataFrame:
     """The raw credit table: ``contract_id`` plus 78 text columns; ``years`` as in ``customer_sums``."""
     sums = customer_sums(
         load_table(spark, sf_dir, "orders"), order_sums(load_table(spark, sf_dir, "lineitem")), years

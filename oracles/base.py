@@ -7,6 +7,8 @@ from collections.abc import Iterable
 from ledgerline import schema as S
 
 YEARS = {"CP": 2000, "LP": 1999, "PBLP": 1998}
+PERIOD_SUMS = """months n_lines revenue ebit depreciation fixed intangible current
+open_value filled_value open_qty filled_qty taxed_qty""".split()
 
 
 def q(name: str) -> str:
@@ -65,7 +67,11 @@ tot AS (
   SELECT o_custkey AS k, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) / 1e2 AS exposure,
          arg_max(o_orderpriority, o_orderkey) AS last_priority
   FROM orders GROUP BY ALL),
-fleet AS (SELECT k, CAST(sum(n_lines) AS BIGINT) AS n FROM per GROUP BY ALL)"""
+fleet AS (SELECT k, CAST(sum(n_lines) AS BIGINT) AS n FROM per GROUP BY ALL),
+lim AS (SELECT min(year(o_orderdate)) AS lo, max(year(o_orderdate)) AS hi FROM orders),
+band AS (
+  SELECT k, ((hi - y) * 3) // (hi - lo + 1) AS b, """ + ", ".join(f"CAST(sum({c}) AS BIGINT) AS {c}" for c in PERIOD_SUMS) + """
+  FROM per, lim GROUP BY ALL)"""
 
 MEASURE_SQL = {
     "number_months": "CAST({p}.months AS DOUBLE)",
@@ -85,7 +91,13 @@ MEASURE_SQL = {
 }
 
 
-def _raw() -> str:
+def _raw(fixed_years: bool = False) -> str:
+    """The raw table; its periods are thirds of the table's range of years, or the fixed ones."""
+    rows = {p: f"per WHERE y = {YEARS[p]}" if fixed_years else f"band WHERE b = {b}" for b, p in enumerate(YEARS)}
+    ends = {
+        p: f"'{YEARS[p]}-12-31'" if fixed_years else f"(SELECT hi - ({b} * (hi - lo + 1) + 2) // 3 FROM lim) || '-12-31'"
+        for b, p in enumerate(YEARS)
+    }
     period = {
         f"{long}_{m}": MEASURE_SQL[m].format(p=p) for p, long in S.PERIODS.items() for m in S.MEASURES
     }
@@ -111,12 +123,12 @@ def _raw() -> str:
         "quote_id": "'Q' || c_custkey",
         "legal_form": "'LTD'",
         "type_of_data": "'annual'",
-        **{long: f"CASE WHEN {p}.k IS NOT NULL THEN '{YEARS[p]}-12-31' END" for p, long in S.PERIODS.items()},
+        **{long: f"CASE WHEN {p}.k IS NOT NULL THEN {ends[p]} END" for p, long in S.PERIODS.items()},
         **period,
     }
     select = ",\n         ".join(f"{values.get(c, 'CAST(NULL AS VARCHAR)')} AS {q(c)}" for c in S.RAW_COLUMNS)
     joins = "\n  ".join(
-        f"LEFT JOIN (SELECT * FROM per WHERE y = {year}) {p} ON {p}.k = c_custkey" for p, year in YEARS.items()
+        f"LEFT JOIN (SELECT * FROM {rows[p]}) {p} ON {p}.k = c_custkey" for p in YEARS
     )
     return f"""raw AS (
   SELECT c_custkey AS contract_id,

@@ -7,12 +7,12 @@ from itertools import combinations
 
 from ledgerline import schema as S
 from oracles import labels as L
-from oracles.bands import BANDS, raw_of_bands
 from oracles.base import (
     CANONICAL_NUMERIC,
     LINES,
     NAMED,
     NUMERIC,
+    _raw,
     cols,
     lit,
     q,
@@ -250,14 +250,8 @@ clean(
 )
 
 # --- joins ------------------------------------------------------------------------------------------
-raw(
-    "join_fold_equi",
-    "SELECT market, "
-    + ", ".join(
-        f"{nulls(c)} AS null_{c}" for c in ("customer_name", "total_exposure", "current_period_revenue")
-    )
-    + " FROM raw GROUP BY market",
-)
+for _name in ("join_fold_equi", "join_fold_all_columns"):
+    raw(_name, "SELECT market, " + ", ".join(f"{nulls(c)} AS {q('null_' + c)}" for c in S.RAW_COLUMNS) + " FROM raw GROUP BY market")
 clean(
     "join_by_row_id",
     f"SELECT contract_id, {rnds(['revenue', 'current_ratio'], 4)}, target_variable FROM clean",
@@ -477,7 +471,7 @@ def kde(names, source: str, by: str | None = None, points: int = 200) -> str:
 
 
 SQL["kde_grid"] = more("clean", kde(S.SCORES, "clean"))
-SQL["kde_grid_log1p"] = more("clean", kde(["log1p_current_assets", "log1p_short_term_liab"], LOGGED))
+SQL["kde_grid_log1p"] = more("clean", kde(LOGS, LOGGED))
 SQL["facet_kde_by_label"] = more("clean", kde(S.SCORES, "clean", "target_variable"))
 _fit = 'pmt_discipline_score, "CR_Rating_score"'
 clean(
@@ -669,11 +663,7 @@ clean(
     "SELECT contract_id, CASE WHEN ((contract_id % 2147483648) * 2654435761 % 4294967296) / 4294967296.0::DOUBLE < 0.7 "
     "THEN 'train' ELSE 'test' END AS split FROM clean",
 )
-clean(
-    "split_features_label",
-    f"SELECT {rnd('sum(revenue)', 4, 'revenue')}, {rnd('sum(EBIT)', 4, 'EBIT')}, count(*) AS n_x, count(*) AS n_y, "
-    "CAST(sum(target_variable) AS BIGINT) AS n_positive FROM clean",
-)
+clean("split_features_label", f"SELECT contract_id, {rnds(_doubles, 4)}, {cols(S.SCORES)}, target_variable FROM clean")
 clean(
     "cv_folds",
     "SELECT contract_id, target_variable, CAST(row_number() OVER (PARTITION BY target_variable ORDER BY contract_id) % 5 AS INTEGER) AS fold FROM clean",
@@ -692,6 +682,31 @@ SQL["naive_bayes_params"] = more(
     ),
 )
 
+
+# every fold's classes from the rows of the other folds; log-likelihoods of standardised values
+_held = ", ".join(f"({f})" for f in range(5))
+_long = " UNION ALL ".join(
+    f"SELECT contract_id, target_variable AS y, fold, {i} AS j, CAST({q(c)} AS DOUBLE) AS v FROM tr" for i, c in enumerate(S.FEATURES)
+)
+SQL["gridsearch_nb"] = more(
+    "clean",
+    f"""tr AS (
+  SELECT *, row_number() OVER (PARTITION BY target_variable ORDER BY contract_id) % 5 AS fold FROM clean
+  WHERE ((contract_id % 2147483648) * 2654435761 % 4294967296) / 4294967296.0::DOUBLE < 0.7),
+lg AS ({_long}),
+held AS (SELECT * FROM (VALUES {_held}) t(f)),
+every AS (SELECT f, j, var_samp(v) AS s2 FROM lg, held WHERE fold <> f GROUP BY ALL),
+own AS (SELECT f, y AS c, j, avg(v) AS m, var_pop(v) AS s FROM lg, held WHERE fold <> f GROUP BY ALL),
+prior AS (SELECT f, target_variable AS c, ln(count(*) / sum(count(*)) OVER (PARTITION BY f)) AS p FROM tr, held WHERE fold <> f GROUP BY f, target_variable),
+ll AS (
+  SELECT contract_id, lg.y, fold, own.c, any_value(p) - sum(0.5 * ln(2 * pi() * (s / s2 + 1e-9)) + (v - m) * (v - m) / s2 / (2 * (s / s2 + 1e-9))) AS l
+  FROM lg JOIN own ON own.f = fold AND own.j = lg.j JOIN every ON every.f = fold AND every.j = lg.j
+  JOIN prior ON prior.f = fold AND prior.c = own.c WHERE s2 > 0 GROUP BY ALL),
+called AS (SELECT contract_id, y, fold, arg_max(c, l) AS c FROM ll GROUP BY ALL),
+hits AS (SELECT fold, avg(CASE WHEN y = c THEN 1.0 ELSE 0.0 END) AS h FROM called GROUP BY fold)
+SELECT 'naive_bayes' AS model, {rnd('avg(h)', 6, 'accuracy')}, true AS is_best FROM hits""",
+)
+
 # --- evaluation ---------------------------------------------------------------------------------------------------------
 THREE_WAY = (
     '(SELECT contract_id, CASE WHEN "CR_Rating_score" >= 75 THEN 2 WHEN "CR_Rating_score" >= 50 THEN 1 ELSE 0 END AS label, '
@@ -823,12 +838,9 @@ def beta_row(c: str) -> str:
 clean("copula_beta_shape", long_union(_synthetic, beta_row, "clean"))
 
 # --- whole jobs beside the narrower ones above -----------------------------------------
-SQL["adapter_credit_raw_all_years"] = (
-    f"WITH {LINES},\n{BANDS},\n{raw_of_bands()}\nSELECT contract_id, {cols(_text)}, {rnds(S.RAW_NUMERIC, 4)} FROM raw"
-)
-raw(
-    "join_fold_all_columns",
-    "SELECT market, " + ", ".join(f"{nulls(c)} AS {q('null_' + c)}" for c in S.RAW_COLUMNS) + " FROM raw GROUP BY market",
+SQL["adapter_credit_raw_all_years"] = SQL["adapter_credit_raw"]
+SQL["adapter_credit_raw_fixed_years"] = (
+    f"WITH {LINES},\n{_raw(True)}\nSELECT contract_id, {cols(_text)}, {rnds(S.RAW_NUMERIC, 4)} FROM raw"
 )
 SQL["kde_grid_log_columns"] = more("clean", kde(LOGS, LOGGED))
 SQL["box_stats_log_columns"] = more("clean", boxes(LOGS, LOGGED))

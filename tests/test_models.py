@@ -70,40 +70,6 @@ def test_customer_table_keeps_probability_or_label(data):
     assert labels <= {0.0, 1.0}
 
 
-def test_grids_report_one_row_per_point(medium):
-    folded = models.folded(medium)
-    logreg = models.gridsearch_logreg(folded, [0.1, 1]).collect()
-    assert [r["C"] for r in logreg] == [0.1, 1.0] and any(r["is_best"] for r in logreg)
-    svm = models.gridsearch_svm(folded, [1], ["rbf", "sigmoid", "poly"]).collect()
-    assert [r["kernel"] for r in svm] == ["rbf", "sigmoid", "poly"]
-    assert all(0.5 < r["accuracy"] <= 1 for r in svm)
-    assert 0 < models.gridsearch_nb(folded).first()["accuracy"] <= 1
-
-
-def test_kernel_maps_approximate_their_kernels():
-    rng = np.random.default_rng(3)
-    x = rng.normal(size=(40, 8))
-    gap = ((x[:, None, :] - x[None, :, :]) ** 2).sum(axis=2)
-    z = kernels.rbf_map(8, width=20_000)(x)
-    assert np.abs(z @ z.T - np.exp(-gap / 8)).max() < 0.05
-    z = kernels.poly_map(8, width=200_000)(x)
-    want = (x @ x.T / 8) ** 3
-    assert np.corrcoef((z @ z.T).ravel(), want.ravel())[0, 1] > 0.95
-    z = kernels.sigmoid_map(x)(x)
-    values, vectors = np.linalg.eigh(np.tanh(x @ x.T / 8))
-    assert np.allclose(z @ z.T, vectors * np.abs(values) @ vectors.T, atol=1e-6)
-
-
-def test_sigmoid_landmarks_come_from_fitted_rows(medium):
-    folded = models.folded(medium)
-    rest = folded.filter("fold != 0")
-    fitted = Pipeline(stages=models.kernel_stages("sigmoid", folded, 8, 16)).fit(rest)
-    _, scaled = prepare.standardize(rest)
-    marks = kernels.landmark_rows(scaled, S.KEY, 16)
-    x = np.array([r[0].toArray() for r in scaled.select("scaled_features").limit(5).collect()])
-    assert np.allclose(fitted.stages[1].function(x), kernels.sigmoid_map(marks)(x))
-
-
 def test_decimals_are_the_columns_own(spark):
     rows = [(1 / 3, 1e-9, 2.5, 7.0, None), (0.5, 3e-9, 0.25, 1e6, None), (0.1, 2e-9, None, -3.0, None)]
     df = spark.createDataFrame(rows, "a double, b double, c double, d double, e double")
