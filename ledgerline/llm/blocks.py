@@ -18,7 +18,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.spans import U64, pieces, running, span_hashes, text_bytes, word_ranges
+from ledgerline.llm.spans import U64, give_back, pieces, running, span_hashes, text_bytes, word_ranges
 
 BLOCK_BYTES = 4 << 20
 PART_BYTES = 16 << 20  # of text for each key range
@@ -151,7 +151,14 @@ def per_block(made: Blocked, work: Callable[[int, BlockTexts], Iterator[dict]],
         rows = [] if block < 0 else list(work(block, block_texts(table)))
         return rows_table(rows, arrow)
 
-    return made.docs.groupBy("block").applyInArrow(run, schema)
+    return made.docs.groupBy("block").applyInArrow(lambda table: _trimmed(run, table), schema)
+
+
+def _trimmed(work: Callable[..., pa.Table], *tables: pa.Table) -> pa.Table:
+    """What ``work`` makes of a group, whose scratch memory is given back before the next."""
+    made = work(*tables)
+    give_back()
+    return made
 
 
 def per_part(sent: DataFrame, work: Callable[[pa.Table], Iterator[tuple[int, np.ndarray]]]) -> DataFrame:
@@ -165,7 +172,7 @@ def per_part(sent: DataFrame, work: Callable[[pa.Table], Iterator[tuple[int, np.
         ]
         return rows_table(rows, FLAGS_ARROW)
 
-    return sent.groupBy("part").applyInArrow(run, FLAGS)
+    return sent.groupBy("part").applyInArrow(lambda table: _trimmed(run, table), FLAGS)
 
 
 def with_answers(made: Blocked, flags: DataFrame, work: Callable[[int, BlockTexts, pa.Table], pa.Table], schema: str) -> DataFrame:
@@ -175,7 +182,9 @@ def with_answers(made: Blocked, flags: DataFrame, work: Callable[[int, BlockText
         block = docs.column("block")[0].as_py() if docs.num_rows else -1
         return work(block, block_texts(docs), back)
 
-    return made.docs.groupBy("block").cogroup(flags.groupBy("block")).applyInArrow(run, schema)
+    return made.docs.groupBy("block").cogroup(flags.groupBy("block")).applyInArrow(
+        lambda docs, back: _trimmed(run, docs, back), schema
+    )
 
 
 def covered(n: int, starts: np.ndarray, width: int | np.ndarray) -> np.ndarray:
