@@ -195,5 +195,5 @@ def exact_quantiles(
     return (
         near.groupBy("grp", "column", "prob")
         .agg(F.min("value").alias("a"), F.max("value").alias("b"), F.max("part").alias("part"))
-        .select("grp", "column", "prob", (F.col("a") + F.col("part") * (F.col("b") - F.col("a"))).alias("value"))
+        .select("grp", "column", "prob", (F.col("a") * (1 - F.col("part")) + F.col("b") * F.col("part")).alias("value"))
     )
