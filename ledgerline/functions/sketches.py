@@ -24,3 +24,26 @@ def sketch_quantiles(df: DataFrame, key: Sequence[str], value: str, probs: Seque
     cuts = F.kll_sketch_get_quantile_double("_sketch", F.array(*[F.lit(float(p)) for p in probs]))
     n = F.kll_sketch_get_n_double("_sketch")
     return merged.select(*key, n.alias("n"), F.when(n > 0, cuts).alias("cuts"))
+
+
+def sketch_columns(df: DataFrame, key: Sequence[str], names: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """(key..., n0, cuts0, n1, cuts1, ...): the same for every column of ``names`` in one aggregate."""
+    key, names = list(key), list(names)
+    sketches = [f"_sketch{i}" for i in range(len(names))]
+    partial = df.groupBy(*key, F.pmod(F.spark_partition_id(), F.lit(MERGERS)).alias("_merger")).agg(
+        *[F.kll_sketch_agg_double(F.col(c).cast("double"), WIDTH).alias(s) for c, s in zip(names, sketches)]
+    )
+    merged = partial.groupBy(*key).agg(*[F.kll_merge_agg_double(s, WIDTH).alias(s) for s in sketches])
+    wanted = F.array(*[F.lit(float(p)) for p in probs])
+    sizes = merged.select("*", *[F.kll_sketch_get_n_double(s).alias(f"n{i}") for i, s in enumerate(sketches)])
+    return sizes.select(
+        *key,
+        *[
+            cell
+            for i, s in enumerate(sketches)
+            for cell in (
+                F.col(f"n{i}"),
+                F.when(F.col(f"n{i}") > 0, F.kll_sketch_get_quantile_double(s, wanted)).alias(f"cuts{i}"),
+            )
+        ],
+    )

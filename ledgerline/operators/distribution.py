@@ -3,19 +3,26 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ledgerline.functions.typing import column
 from ledgerline.operators.missing import ROW, attach_row
-from ledgerline.operators.quantiles import exact_quantiles, long_values
+from ledgerline.operators.quantiles import exact_quantiles, long_values, wide_values
 
 KDE_GRID = 200
 KDE_CUT = 3.0
+GRID_FIELDS = ("start", "step", "width", "total")
+KEPT_CURVES = 2_000  # curves a task holds before it hands its sums on
 WHISKER = 1.5
+BOX = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
 
 def zscore_outlier_count(
@@ -51,25 +58,49 @@ def zscore_outlier_count(
 
 
 def box_stats(df: DataFrame, names: Iterable[str], by: str | None = None, **limits: int) -> DataFrame:
-    """q1, median, q3, whiskers (extreme values inside 1.5 IQR) and outlier count."""
+    """q1, median, q3, whiskers (extreme values inside 1.5 IQR) and outlier count.
+
+    Nulls and NaN are no values, infinite ones are; equal quartiles reach no
+    further.  A column without values has nulls and no outliers.
+    """
     names = list(names)
-    key = ["grp", "column"]
+    found = exact_quantiles(df, names, [0.25, 0.5, 0.75], by, **limits)
 
-    def at(p: float) -> Column:
-        return F.max(F.when(F.col("prob") == p, F.col("value")))
+    def at(name: str, p: float) -> Column:
+        return F.max(F.when((F.col("column") == name) & (F.col("prob") == p), F.col("value")))
 
-    fences = (
-        exact_quantiles(df, names, [0.25, 0.5, 0.75], by, **limits)
-        .groupBy(*key)
-        .agg(at(0.25).alias("q1"), at(0.5).alias("median"), at(0.75).alias("q3"))
-    )
-    reach = WHISKER * (F.col("q3") - F.col("q1"))
-    inside = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
-    table = long_values(df, names, by).join(fences, key).groupBy(*key, "q1", "median", "q3").agg(
-        F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
-        F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
-        F.count_if(~inside).alias("n_outliers"),
+    # one row for each class
+    fences = found.groupBy(F.col("grp").alias("_of")).agg(
+        *[at(c, p).alias(f"{q}_{i}") for i, c in enumerate(names) for q, p in BOX.items()]
     )
+    values = wide_values(df, names, by)
+    if by:
+        fenced = values.join(fences, F.col("grp").eqNullSafe(F.col("_of")))
+    else:
+        fenced, row = attach_row(values, {c: F.first(c) for c in fences.columns}, fences)
+        fenced = fenced.select("*", *[cell.alias(c) for c, cell in row.items()])
+    sums = []
+    for i in range(len(names)):
+        x, q1, q3 = F.col(f"x{i}"), F.col(f"q1_{i}"), F.col(f"q3_{i}")
+        reach = F.when(q1 == q3, 0.0).otherwise(WHISKER * (q3 - q1))
+        inside = x.between(q1 - reach, q3 + reach)
+        sums += [
+            *[F.first(f"{q}_{i}").alias(f"{q}_{i}") for q in BOX],
+            F.min(F.when(inside, x)).alias(f"low_{i}"),
+            F.max(F.when(inside, x)).alias(f"high_{i}"),
+            F.count_if(~inside).alias(f"out_{i}"),
+        ]
+    boxes = [
+        F.struct(
+            F.lit(c).alias("column"),
+            *[F.col(f"{q}_{i}").alias(q) for q in BOX],
+            F.col(f"low_{i}").alias("whisker_low"),
+            F.col(f"high_{i}").alias("whisker_high"),
+            F.col(f"out_{i}").alias("n_outliers"),
+        )
+        for i, c in enumerate(names)
+    ]
+    table = fenced.groupBy("grp").agg(*sums).select("grp", F.inline(F.array(*boxes)))
     return table.withColumnRenamed("grp", by) if by else table.drop("grp")
 
 
@@ -89,8 +120,9 @@ def _bounds(values: DataFrame) -> DataFrame:
 
 
 def _bin(value: Column, low: Column, high: Column, bins: int) -> Column:
-    """Equal-width bin 0..bins-1; the last bin is closed on both sides."""
-    return F.least(F.floor((value - low) / (high - low) * bins), F.lit(bins - 1)).cast("int")
+    """Equal-width bin 0..bins-1, null for null; the last bin is closed on both sides."""
+    at = F.floor((value - low) / (high - low) * bins)
+    return F.when(at < bins, at).when(at >= bins, bins - 1).cast("int")
 
 
 def histogram(df: DataFrame, names: Iterable[str], bins: int = 10) -> DataFrame:
@@ -113,51 +145,99 @@ def histogram(df: DataFrame, names: Iterable[str], bins: int = 10) -> DataFrame:
     )
 
 
+def _kernel_sums(columns: int, points: int, schema: pa.Schema, fixed: dict[str, list] | None):
+    """Each task's density on the grid of every class and column, as one vector for each.
+
+    ``fixed`` holds start, step, width and total by column where there are no
+    classes; else every row carries those of its class.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict = {}
+
+        def block() -> pa.RecordBatch:
+            keys = list(sums)
+            lines = [sums[k] for k in keys]
+            arrays = [[k[0] for k in keys], [k[1] for k in keys], [x for x, _ in lines], [h for _, h in lines]]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(a, f.type) for a, f in zip(arrays, schema, strict=True)], schema=schema
+            )
+
+        for batch in batches:
+            classes = batch.column("grp").dictionary_encode(null_encoding="encode")
+            codes = classes.indices.to_numpy(zero_copy_only=False)
+            order = np.argsort(codes, kind="stable")
+            ends = np.searchsorted(codes[order], np.arange(len(classes.dictionary) + 1))
+            data = [batch.column(f"x{i}").to_numpy(zero_copy_only=False).astype(float) for i in range(columns)]
+            for code, grp in enumerate(classes.dictionary.to_pylist()):
+                rows = order[ends[code] : ends[code + 1]]
+                grid = fixed or {name: batch.column(name)[int(rows[0])].as_py() for name in GRID_FIELDS}
+                for i in range(columns):
+                    start, step, width, total = (grid[name][i] for name in GRID_FIELDS)
+                    if not width or width != width:
+                        continue
+                    x = data[i][rows]
+                    value, n = np.unique(x[~np.isnan(x)], return_counts=True)
+                    at = start + np.arange(points) * step
+                    height = np.exp(-0.5 * ((at[:, None] - value[None, :]) / width) ** 2) @ n
+                    height /= total * width * math.sqrt(2 * math.pi)
+                    known = sums.get((grp, i))
+                    sums[grp, i] = (at, height if known is None else known[1] + height)
+            if len(sums) > KEPT_CURVES:
+                yield block()
+                sums.clear()
+        if sums:
+            yield block()
+
+    return run
+
+
 def kde_grid(
     df: DataFrame,
     names: Iterable[str],
     points: int = KDE_GRID,
     cut: float = KDE_CUT,
     by: str | None = None,
-    ties: bool = True,
 ) -> DataFrame:
     """Gaussian density curve with Scott bandwidth on an even grid.
 
-    Every value adds its kernel to every grid point; the sums combine on the
-    map side.  With ``ties`` equal values are counted first, which suits scores
-    with few distinct values; for continuous columns it would only be a shuffle.
+    Each task adds up the kernels of its rows as one vector for each class and
+    column; only those vectors are shuffled.  Values that are not finite are
+    left out; a column without spread has no curve.
     """
-    key = ["grp", "column"]
-    values = long_values(df, names, by).filter(F.abs("value") < math.inf)
-    spread = (
-        values.groupBy(*key)
-        .agg(
-            F.count(F.lit(1)).alias("total"),
-            F.min("value").alias("low"),
-            F.max("value").alias("high"),
-            (F.stddev_samp("value") * F.pow(F.count(F.lit(1)), F.lit(-0.2))).alias("width"),
-        )
-        .filter("width > 0")
-    )
-    start = F.col("low") - cut * F.col("width")
-    step = (F.col("high") - F.col("low") + 2 * cut * F.col("width")) / (points - 1)
-    u = (start + F.col("point") * step - F.col("value")) / F.col("width")
-    height = F.sum(F.col("n") * F.exp(-0.5 * u * u))
-    if ties:
-        weighted = values.groupBy(*key, "value").agg(F.count(F.lit(1)).alias("n"))
+    names = list(names)
+    grp = column(by) if by else F.lit(0)
+    values = df.select(grp.alias("grp"), *[_finite(c).alias(f"x{i}") for i, c in enumerate(names)])
+    shapes: dict[str, list[Column]] = {name: [] for name in GRID_FIELDS}
+    for i in range(len(names)):
+        x = F.col(f"x{i}")
+        total, low, high = F.count(x).cast("double"), F.min(x), F.max(x)
+        width = F.stddev_samp(x) * F.pow(F.nullif(total, F.lit(0.0)), F.lit(-0.2))
+        shapes["start"].append(low - cut * width)
+        shapes["step"].append((high - low + 2 * cut * width) / (points - 1))
+        shapes["width"].append(width)
+        shapes["total"].append(total)
+    arrays = [F.array(*cells).alias(name) for name, cells in shapes.items()]
+    fixed = None
+    if by:
+        grids = values.groupBy(F.col("grp").alias("_of")).agg(*arrays)  # one row for each class
+        values = values.join(grids, F.col("grp").eqNullSafe(F.col("_of"))).drop("_of")
     else:
-        weighted = values.withColumn("n", F.lit(1))
+        fixed = values.agg(*arrays).first().asDict()  # four numbers for each column
+    schema = T.StructType(
+        [
+            T.StructField("grp", values.schema["grp"].dataType),
+            T.StructField("cell", T.IntegerType()),
+            T.StructField("x", T.ArrayType(T.DoubleType())),
+            T.StructField("density", T.ArrayType(T.DoubleType())),
+        ]
+    )
+    blocks = values.mapInArrow(_kernel_sums(len(names), points, to_arrow_schema(schema), fixed), schema)
     curve = (
-        weighted.join(spread, key)
-        .select("*", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
-        .groupBy(*key, "point", "total", "low", "high", "width")
-        .agg(height.alias("height"))
-        .select(
-            *key,
-            "point",
-            (start + F.col("point") * step).alias("x"),
-            (F.col("height") / (F.col("total") * F.col("width") * math.sqrt(2 * math.pi))).alias("density"),
-        )
+        blocks.select("grp", "cell", F.posexplode(F.arrays_zip("x", "density")).alias("point", "at"))
+        .groupBy("grp", "cell", "point")
+        .agg(F.min("at.x").alias("x"), F.sum("at.density").alias("density"))
+        .select("grp", F.array(*[F.lit(c) for c in names])[F.col("cell")].alias("column"), "point", "x", "density")
     )
     return curve.withColumnRenamed("grp", by) if by else curve.drop("grp")
 
@@ -193,43 +273,65 @@ def _with_bins(df: DataFrame, names: list[str], bins: int) -> tuple[DataFrame, d
     }
 
 
+def _pair_counts(names: list[str], bins: int, schema: pa.Schema):
+    """Each task's counts on the grid of every pair, as rows of the filled cells."""
+    pairs = list(combinations(range(len(names)), 2))
+    size = bins * bins
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros((len(pairs), size), np.int64)
+        for batch in batches:
+            # a bin that is null is counted in no cell
+            cells = [np.nan_to_num(c.to_numpy(zero_copy_only=False).astype(float), nan=-1).astype(np.int64) for c in batch.columns]
+            for line, (a, b) in zip(counts, pairs, strict=True):
+                both = (cells[a] >= 0) & (cells[b] >= 0)
+                line += np.bincount(cells[a][both] * bins + cells[b][both], minlength=size)
+        pair, cell = np.nonzero(counts)
+        first, second = np.array(pairs, np.int64).reshape(-1, 2).T
+        label = pa.array(names, pa.string())
+        yield pa.RecordBatch.from_arrays(
+            [
+                label.take(pa.array(first[pair])),
+                label.take(pa.array(second[pair])),
+                pa.array(cell // bins, pa.int32()),
+                pa.array(cell % bins, pa.int32()),
+                pa.array(counts[pair, cell], pa.int64()),
+            ],
+            schema=schema,
+        )
+
+    return run
+
+
 def pair_scatter(df: DataFrame, names: Iterable[str], bins: int = 10) -> DataFrame:
-    """Counts on a bins x bins grid for every pair of columns (rows without two finite values left out)."""
+    """Counts on a bins x bins grid for every pair of columns (rows without two finite values left out).
+
+    Each task counts its rows on all grids at once; only the filled cells are shuffled.
+    """
     names = list(names)
     df, cell = _with_bins(df, names, bins)
-    panels = [
-        F.struct(
-            F.lit(a).alias("column_x"), F.lit(b).alias("column_y"), cell[a].alias("bin_x"), cell[b].alias("bin_y")
-        )
-        for a, b in combinations(names, 2)
-    ]
-    return (
-        df.select(F.inline(F.array(*panels)))
-        .filter("bin_x is not null and bin_y is not null")
-        .groupBy("column_x", "column_y", "bin_x", "bin_y")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    schema = T.StructType.fromDDL("column_x string, column_y string, bin_x int, bin_y int, n bigint")
+    placed = df.select(*[cell[c].alias(f"b{i}") for i, c in enumerate(names)])
+    blocks = placed.mapInArrow(_pair_counts(names, bins, to_arrow_schema(schema)), schema)
+    return blocks.groupBy("column_x", "column_y", "bin_x", "bin_y").agg(F.sum("n").alias("n"))
 
 
 def hexbin_counts(df: DataFrame, x: str, y: str, gridsize: int = 20, by: str | None = None) -> DataFrame:
-    """Counts per hexagon: the nearer centre of two shifted rectangular lattices."""
+    """Counts per hexagon: the nearer centre of two shifted rectangular lattices.
+
+    A constant column gets a range of width 1 round its value.
+    """
     rows = int(gridsize / math.sqrt(3))
     keep = [column(by)] if by else []
     df = df.filter(_finite(x).isNotNull() & _finite(y).isNotNull())
-    df, box = attach_row(
-        df,
-        {
-            "x0": F.min(column(x)),
-            "x1": F.max(column(x)),
-            "y0": F.min(column(y)),
-            "y1": F.max(column(y)),
-        },
-    )
-    placed = df.select(
-        *keep,
-        (F.try_divide(column(x) - box["x0"], box["x1"] - box["x0"]) * gridsize).alias("px"),
-        (F.try_divide(column(y) - box["y0"], box["y1"] - box["y0"]) * rows).alias("py"),
-    )
+    ends = {f"{side} {c}": f(column(c)) for c in (x, y) for side, f in (("low", F.min), ("high", F.max))}
+    df, box = attach_row(df, ends)
+
+    def share(c: str) -> Column:
+        low, high = box[f"low {c}"], box[f"high {c}"]
+        return F.when(low == high, 0.5).otherwise(F.try_divide(column(c) - low, high - low))
+
+    placed = df.select(*keep, (share(x) * gridsize).alias("px"), (share(y) * rows).alias("py"))
     px, py = F.col("px"), F.col("py")
     near_x, near_y = F.floor(px + 0.5), F.floor(py + 0.5)
     cell_x, cell_y = F.floor(px), F.floor(py)

@@ -7,10 +7,10 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.functions.sketches import sketch_quantiles
+from ledgerline.functions.sketches import sketch_columns
 from ledgerline.functions.typing import column
 from ledgerline.operators.missing import numbers
-from ledgerline.operators.quantiles import exact_quantiles
+from ledgerline.operators.quantiles import exact_quantiles, wide_values
 
 BASIC = {
     "count": lambda c: F.count(c).cast("double"),
@@ -53,12 +53,15 @@ def describe(df: DataFrame, names: Iterable[str] | None = None) -> DataFrame:
 def summary_approx(df: DataFrame, names: Iterable[str] | None = None) -> DataFrame:
     """``describe`` plus quartiles from a sketch; quartiles are actual elements."""
     names = list(names or numbers(df))
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), column(c).cast("double").alias("value")) for c in names])
-    cuts = sketch_quantiles(df.select(F.inline(cells)), ["column"], "value", list(QUARTILES.values()))
+    cuts = sketch_columns(wide_values(df, names), ["grp"], [f"x{i}" for i in range(len(names))], list(QUARTILES.values()))
     rows = F.array(
-        *[F.struct(F.lit(stat).alias("stat"), F.col("cuts")[i].alias("value")) for i, stat in enumerate(QUARTILES)]
+        *[
+            F.struct(F.lit(c).alias("column"), F.lit(stat).alias("stat"), F.col(f"cuts{i}")[j].alias("value"))
+            for i, c in enumerate(names)
+            for j, stat in enumerate(QUARTILES)
+        ]
     )
-    return describe(df, names).unionByName(cuts.select("column", F.inline(rows)))
+    return describe(df, names).unionByName(cuts.select(F.inline(rows)))
 
 
 def describe_exact(df: DataFrame, names: Iterable[str] | None = None) -> DataFrame:

@@ -531,12 +531,12 @@ def kde_grid(clean):
 
 @query("canonical", 6)
 def kde_grid_log1p(clean):
-    return distribution.kde_grid(C.log1p_features(clean), [f"log1p_{c}" for c in S.LOG_COLUMNS], ties=False)
+    return distribution.kde_grid(C.log1p_features(clean), [f"log1p_{c}" for c in S.LOG_COLUMNS])
 
 
 @query("canonical", 6)
 def kde_grid_log_columns(clean):
-    return distribution.kde_grid(C.log1p_features(clean), [f"log1p_{c}" for c in S.LOG_COLUMNS], ties=False)
+    return distribution.kde_grid(C.log1p_features(clean), [f"log1p_{c}" for c in S.LOG_COLUMNS])
 
 
 @query("canonical", 4)

@@ -236,3 +236,73 @@ def test_zscore_counts_no_nan_and_no_infinite_column(spark):
     assert [tuple(r) for r in zscore_outlier_count(df, "abc").collect()] == [("a", 1)]
     omitted = zscore_outlier_count(df, "abc", nan_policy="omit").collect()
     assert [tuple(r) for r in omitted] == [("a", 1), ("b", 1)]
+
+
+def test_infinite_values_are_values_of_quantiles_and_boxes(spark):
+    rows = [(v, None) for v in [1.0, 2.0, 3.0, math.inf, math.inf, math.nan, None]]
+    df = spark.createDataFrame(rows, "x double, empty double")
+    box = {r["column"]: r for r in distribution.box_stats(df, ["x", "empty"]).collect()}
+    assert (box["x"]["q1"], box["x"]["median"], box["x"]["q3"]) == (2.0, 3.0, math.inf)
+    assert (box["x"]["whisker_low"], box["x"]["whisker_high"], box["x"]["n_outliers"]) == (1.0, math.inf, 0)
+    assert tuple(box["empty"])[1:] == (None, None, None, None, None, 0)
+    ends = spark.createDataFrame([(-math.inf,), (math.inf,), (4.0,)], "x double")
+    assert [r["value"] for r in exact_quantiles(ends, ["x"], [0.0, 0.5, 1.0]).orderBy("prob").collect()] == [-math.inf, 4.0, math.inf]
+    assert values(exact_quantiles(ends.filter("x != 4"), ["x"], [0.5]), "value") == [None]
+
+
+def test_exact_description_keeps_columns_without_values(spark):
+    df = spark.createDataFrame([(1.0, None), (2.0, None)], "x double, empty double")
+    got = {(r["column"], r["stat"]): r["value"] for r in profile.describe_exact(df, ["x", "empty"]).collect()}
+    assert len(got) == 16 and got["x", "50%"] == 1.5
+    assert [got["empty", s] for s in ("count", "25%", "50%", "75%", "max")] == [0.0, None, None, None, None]
+
+
+def test_quantiles_take_null_as_a_class_and_explode_no_rows(spark):
+    rows = [("a", 1.0), ("a", 2.0), (None, 5.0), (None, 7.0), ("b", None)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    got = {(r["grp"]): r["value"] for r in exact_quantiles(df, ["x"], [0.5], by="g").collect()}
+    assert got == {"a": 1.5, None: 6.0, "b": None}
+    boxes = {r["g"]: r["n_outliers"] for r in distribution.box_stats(df, ["x"], by="g").collect()}
+    assert boxes == {"a": 0, None: 0, "b": 0}
+
+
+def test_densities_match_the_kernel_sum_by_class(spark):
+    rows = [("a", float(i * i)) for i in range(30)] + [(None, float(i)) for i in range(5)] + [("c", 3.0), ("a", None)]
+    df = spark.createDataFrame(rows, "g string, x double").repartition(4)
+    curve = distribution.kde_grid(df, ["x"], points=9, by="g").collect()
+    assert sorted({str(r["g"]) for r in curve}) == ["None", "a"]
+    for grp in ("a", None):
+        data = [v for g, v in rows if g == grp and v is not None]
+        n, mean = len(data), sum(data) / len(data)
+        width = math.sqrt(sum((v - mean) ** 2 for v in data) / (n - 1)) * n**-0.2
+        for r in [r for r in curve if r["g"] == grp]:
+            x = min(data) - 3 * width + r["point"] * (max(data) - min(data) + 6 * width) / 8
+            want = sum(math.exp(-0.5 * ((x - v) / width) ** 2) for v in data) / (n * width * math.sqrt(2 * math.pi))
+            assert (r["x"], r["density"]) == pytest.approx((x, want))
+
+
+def test_pair_counts_match_counting(spark):
+    rows = [(float(i % 7), float(i * i % 11), None if i % 3 else float(i)) for i in range(60)] + [(math.inf, 1.0, 2.0)]
+    df = spark.createDataFrame(rows, "a double, b double, c double").repartition(5)
+    got = distribution.pair_scatter(df, ["a", "b", "c"], bins=4).collect()
+    cells = {}
+    ends = [[v for v in col if v is not None and math.isfinite(v)] for col in zip(*rows)]
+
+    def place(i, v):
+        low, high = min(ends[i]), max(ends[i])
+        return min(int((v - low) / (high - low) * 4), 3)
+
+    for row in rows:
+        for i, j in ((0, 1), (0, 2), (1, 2)):
+            if all(row[k] is not None and math.isfinite(row[k]) for k in (i, j)):
+                key = ("abc"[i], "abc"[j], place(i, row[i]), place(j, row[j]))
+                cells[key] = cells.get(key, 0) + 1
+    assert {tuple(r)[:4]: r["n"] for r in got} == cells
+    plan = distribution.pair_scatter(df, ["a", "b", "c"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan
+
+
+def test_hexagons_of_a_constant_column(spark):
+    df = spark.createDataFrame([(float(i), 4.0) for i in range(10)], "x double, y double")
+    got = distribution.hexbin_counts(df, "x", "y").collect()
+    assert sum(r["n"] for r in got) == 10 and all(r["hex_y"] is not None for r in got)
