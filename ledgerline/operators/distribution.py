@@ -64,28 +64,25 @@ def box_stats(df: DataFrame, names: Iterable[str], by: str | None = None, **limi
     further.  A column without values has nulls and no outliers.
     """
     names = list(names)
-    found = exact_quantiles(df, names, [0.25, 0.5, 0.75], by, **limits)
-
-    def at(name: str, p: float) -> Column:
-        return F.max(F.when((F.col("column") == name) & (F.col("prob") == p), F.col("value")))
-
-    # one row for each class
-    fences = found.groupBy(F.col("grp").alias("_of")).agg(
-        *[at(c, p).alias(f"{q}_{i}") for i, c in enumerate(names) for q, p in BOX.items()]
-    )
+    found = exact_quantiles(df, names, list(BOX.values()), by, **limits)
     values = wide_values(df, names, by)
+    cells = [(c, q) for c in names for q in BOX]
     if by:
-        fenced = values.join(fences, F.col("grp").eqNullSafe(F.col("_of")))
+        place = F.array_position(F.array(*[F.lit(c) for c in names]), F.col("column"))
+        listed = F.array_sort(F.collect_list(F.struct(place.alias("place"), "prob", "value")))
+        # one row for each class
+        fences = found.groupBy(F.col("grp").alias("_of")).agg(listed.alias("_f")).select("_of", F.col("_f.value").alias("_f"))
+        values = values.join(fences, F.col("grp").eqNullSafe(F.col("_of")))
+        fence = {cell: F.col("_f")[k] for k, cell in enumerate(cells)}
     else:
-        fenced, row = attach_row(values, {c: F.first(c) for c in fences.columns}, fences)
-        fenced = fenced.select("*", *[cell.alias(c) for c, cell in row.items()])
-    sums = []
-    for i in range(len(names)):
-        x, q1, q3 = F.col(f"x{i}"), F.col(f"q1_{i}"), F.col(f"q3_{i}")
+        known = {(r["column"], r["prob"]): r["value"] for r in found.collect()}  # three numbers for each column
+        fence = {(c, q): F.lit(known.get((c, BOX[q]))).cast("double") for c, q in cells}
+    sums = [F.first("_f").alias("_f")] if by else []
+    for i, c in enumerate(names):
+        x, q1, q3 = F.col(f"x{i}"), fence[c, "q1"], fence[c, "q3"]
         reach = F.when(q1 == q3, 0.0).otherwise(WHISKER * (q3 - q1))
         inside = x.between(q1 - reach, q3 + reach)
         sums += [
-            *[F.first(f"{q}_{i}").alias(f"{q}_{i}") for q in BOX],
             F.min(F.when(inside, x)).alias(f"low_{i}"),
             F.max(F.when(inside, x)).alias(f"high_{i}"),
             F.count_if(~inside).alias(f"out_{i}"),
@@ -93,14 +90,14 @@ def box_stats(df: DataFrame, names: Iterable[str], by: str | None = None, **limi
     boxes = [
         F.struct(
             F.lit(c).alias("column"),
-            *[F.col(f"{q}_{i}").alias(q) for q in BOX],
+            *[fence[c, q].alias(q) for q in BOX],
             F.col(f"low_{i}").alias("whisker_low"),
             F.col(f"high_{i}").alias("whisker_high"),
             F.col(f"out_{i}").alias("n_outliers"),
         )
         for i, c in enumerate(names)
     ]
-    table = fenced.groupBy("grp").agg(*sums).select("grp", F.inline(F.array(*boxes)))
+    table = values.groupBy("grp").agg(*sums).select("grp", F.inline(F.array(*boxes)))
     return table.withColumnRenamed("grp", by) if by else table.drop("grp")
 
 

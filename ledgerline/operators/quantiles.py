@@ -60,30 +60,34 @@ def wide_values(df: DataFrame, names: list[str], by: str | None = None) -> DataF
 
 def _wanted(sketches: DataFrame, names: list[str], probs: list[float], margin: int) -> DataFrame:
     """One row for each class and cell (column and probability): its ranks and bracket."""
-    cells = []
-    for i, name in enumerate(names):
-        n, cuts = F.nullif(F.col(f"n{i}"), F.lit(0)), F.col(f"cuts{i}")
-        for p in probs:
-            position = (n - 1) * F.lit(p)
-            lower, upper = F.floor(position), F.ceil(position)
-            first = F.floor(lower * GRID / n) - margin
-            last = F.floor(upper * GRID / n) + 1 + margin
-            low = F.when(first <= 0, -math.inf).otherwise(F.get(cuts, first.cast("int")))
-            high = F.when(last >= GRID, math.inf).otherwise(F.get(cuts, last.cast("int")))
-            cells.append(
-                F.struct(
-                    F.lit(len(cells)).alias("cell"),
-                    F.lit(name).alias("column"),
-                    F.lit(p).alias("prob"),
-                    lower.alias("lower"),
-                    upper.alias("upper"),
-                    (position - lower).alias("part"),
-                    # without values nothing lies inside
-                    F.coalesce(low, F.lit(math.inf)).alias("low"),
-                    F.coalesce(high, F.lit(-math.inf)).alias("high"),
-                )
-            )
-    return sketches.select("grp", F.inline(F.array(*cells)))
+    columns = [
+        F.struct(F.lit(i).alias("i"), F.lit(c).alias("column"), F.col(f"n{i}").alias("n"), F.col(f"cuts{i}").alias("cuts"))
+        for i, c in enumerate(names)
+    ]
+    ranks = (
+        sketches.select("grp", F.inline(F.array(*columns)))
+        .select("*", F.posexplode(F.array(*[F.lit(p) for p in probs])).alias("j", "prob"))
+        .withColumn("n", F.nullif("n", F.lit(0)))
+        .withColumn("position", (F.col("n") - 1) * F.col("prob"))
+        .withColumns({"lower": F.floor("position"), "upper": F.ceil("position")})
+    )
+    first = F.floor(F.col("lower") * GRID / F.col("n")) - margin
+    last = F.floor(F.col("upper") * GRID / F.col("n")) + 1 + margin
+    low = F.when(first <= 0, -math.inf).otherwise(F.get("cuts", first.cast("int")))
+    high = F.when(last >= GRID, math.inf).otherwise(F.get("cuts", last.cast("int")))
+    wanted = ranks.select(
+        "grp",
+        (F.col("i") * len(probs) + F.col("j")).alias("cell"),
+        "column",
+        "prob",
+        "lower",
+        "upper",
+        (F.col("position") - F.col("lower")).alias("part"),
+        # without values nothing lies inside
+        F.coalesce(low, F.lit(math.inf)).alias("low"),
+        F.coalesce(high, F.lit(-math.inf)).alias("high"),
+    )
+    return stage(wanted, "ranks")
 
 
 def _runs(codes: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -212,7 +216,7 @@ def exact_quantiles(
     """
     names, probs = list(names), [float(p) for p in probs]
     values = wide_values(df, names, by)
-    sketches = stage(sketch_columns(values, ["grp"], [f"x{i}" for i in range(len(names))], PROBS), "sketches")
+    sketches = sketch_columns(values, ["grp"], [f"x{i}" for i in range(len(names))], PROBS)
     margin = MARGIN
     while True:
         wanted = _wanted(sketches, names, probs, margin)
