@@ -120,6 +120,22 @@ def fit_multinomial(data: DataFrame, label: str, features_col: str = "scaled_fea
     return classifier.fit(part(data, "train"))
 
 
+def split_report(model, data: DataFrame, label: str) -> DataFrame:
+    """(split, n, classes, accuracy, commonest): ``commonest`` is the share of the commonest class there."""
+    called = model.transform(data).groupBy("split", column(label).alias("label"), "prediction").count()
+    classes = called.groupBy("split", "label").agg(
+        F.sum("count").alias("rows"),
+        F.coalesce(F.sum(F.when(F.col("label") == F.col("prediction"), F.col("count"))), F.lit(0)).alias("hits"),
+    )
+    n = F.sum("rows")
+    return classes.groupBy("split").agg(
+        n.alias("n"),
+        F.count("label").cast("int").alias("classes"),
+        (F.sum("hits") / n).alias("accuracy"),
+        (F.max("rows") / n).alias("commonest"),
+    )
+
+
 def naive_bayes_params(data: DataFrame, features: Sequence[str], label: str = S.LABEL) -> DataFrame:
     """Prior, mean and variance per class and feature, as a Gaussian fit learns them.
 
@@ -127,13 +143,13 @@ def naive_bayes_params(data: DataFrame, features: Sequence[str], label: str = S.
     largest feature variance.
     """
     features = list(features)
-    values = F.array(*[column(c).cast("double") for c in features])
-    long = data.select(
-        column(label).alias("class"), F.posexplode(values).alias("at", "value")
-    )
-    stats = long.groupBy("class", "at").agg(
-        F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean"), F.var_pop("value").alias("spread")
+    # one aggregate over the rows, unfolded when there is one row a class
+    wide = data.groupBy(column(label).alias("class")).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[f(column(c).cast("double")).alias(f"{p}{i}") for i, c in enumerate(features) for p, f in (("m", F.avg), ("s", F.var_pop))],
     )
+    cells = F.array(*[F.struct(F.col(f"m{i}").alias("mean"), F.col(f"s{i}").alias("spread")) for i in range(len(features))])
+    stats = wide.select("class", "n", F.posexplode(cells).alias("at", "cell")).select("class", "n", "at", "cell.*")
     overall = data.agg(
         F.count(F.lit(1)).alias("total"),
         F.greatest(*[F.var_samp(column(c)) for c in features]).alias("largest"),

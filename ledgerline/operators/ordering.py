@@ -14,7 +14,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.functions.sketches import sketch_quantiles
+from ledgerline.functions.sketches import sketch_columns, sketch_quantiles
+from ledgerline.sources.staging import stage
 
 RANGE = "_range"
 
@@ -99,3 +100,62 @@ def row_numbers(df: DataFrame, order: str, by: Sequence[str] = (), ranges: int |
     """``row_number`` from 1 by ``order`` within ``by``; ``order`` must be unique there."""
     counted = running_totals(df.withColumn("row_number", F.lit(1)), order, ["row_number"], by, ranges=ranges)
     return counted.drop("row_number").withColumnRenamed("cum_row_number", "row_number")
+
+
+def percent_ranks(df: DataFrame, names: Sequence[str], key: str, ranges: int | None = None) -> DataFrame:
+    """``key`` and, under each name, ``100 * (rows below) / (rows - 1)`` among the column's values.
+
+    Ties share the rank of the first of them and a lone value has rank 0.  Nulls and NaN are no values
+    and have a null rank.  ``key`` must be unique; it may be of any type, a null key's row has null ranks.
+
+    Equal values are counted first.  Their counts are summed inside value ranges of their own column
+    and offset by the ranges before.  A value that more than one in ``ranges`` rows of its column holds
+    goes to the rows by broadcast, as a column has fewer than ``ranges`` of them, the others by shuffle.
+    """
+    names, ranges = list(names), ranges or default_ranges(df)
+    values = [F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None)) for c in names]
+    wide = df.select(F.col(key).alias("_key"), *[v.alias(f"v{i}") for i, v in enumerate(values)])
+    inner = [f"v{i}" for i in range(len(names))]
+    found = sketch_columns(wide, [], inner, [i / ranges for i in range(1, ranges)]).first()
+    cuts = [sorted({c for c in (found[f"cuts{i}"] if found else None) or [] if math.isfinite(c)}) for i in range(len(names))]
+    # a column without cuts gets one that parts nothing but the signs
+    ranged = Bucketizer(
+        splitsArray=[[-math.inf, *(c or [0.0]), math.inf] for c in cuts],
+        inputCols=inner,
+        outputCols=[f"r{i}" for i in range(len(names))],
+        handleInvalid="keep",
+    ).transform(wide)
+    cells = F.explode(F.array(*[
+        F.struct(F.lit(i).alias("at"), F.col(f"r{i}").cast("int").alias("range"), F.col(f"v{i}").alias("value"))
+        for i in range(len(names))
+    ]))
+    long = ranged.select("_key", cells.alias("cell")).select("_key", "cell.*").where("value IS NOT NULL")
+    same = ["at", "range", "value"]
+    counts = stage(long.groupBy(*same).agg(F.count(F.lit(1)).alias("n")), "rank-counts")
+    parts = counts.groupBy("at", "range").agg(F.sum("n").alias("part"))  # at most `ranges` rows a column
+    column_rows = Window.partitionBy("at")
+    offsets = parts.select(
+        "at",
+        "range",
+        (F.sum("part").over(column_rows.orderBy("range")) - F.col("part")).alias("before"),
+        F.sum("part").over(column_rows).alias("total"),
+    )
+    inside = F.sum("n").over(Window.partitionBy("at", "range").orderBy("value")) - F.col("n")
+    below = F.col("before") + F.col("inside")
+    position = F.coalesce(F.try_divide(F.lit(100.0) * below, F.col("total") - 1), F.lit(0.0))
+    ranks = (
+        counts.withColumn("inside", inside)
+        .join(F.broadcast(offsets), ["at", "range"])
+        .select(*same, position.alias("rank"), (F.col("n") * ranges > F.col("total")).alias("hot"))
+    )
+    placed = long.join(F.broadcast(ranks.where("hot").drop("hot")), same, "left")
+    rest = placed.where("rank IS NULL").drop("rank").join(ranks.where("NOT hot").drop("hot"), same)
+    everything = placed.where("rank IS NOT NULL").unionByName(rest)
+    back = everything.groupBy("_key").agg(
+        *[F.max(F.when(F.col("at") == i, F.col("rank"))).alias(f"p{i}") for i in range(len(names))]
+    )
+    return (
+        df.select(F.col(key).alias("_key"))
+        .join(back, "_key", "left")
+        .select(F.col("_key").alias(key), *[F.col(f"p{i}").alias(c) for i, c in enumerate(names)])
+    )

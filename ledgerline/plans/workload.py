@@ -37,6 +37,8 @@ def staged(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
             made = credit_raw(spark, sf_dir)
         elif name in MODEL_INPUTS:
             return _tables.setdefault(key, MODEL_INPUTS[name](staged(spark, sf_dir, "canonical")))
+        elif name == "ranks":
+            made = rules.ranked(staged(spark, sf_dir, "three_class"), S.FEATURES_THREE_CLASS)
         else:
             made = getattr(presets, name)(staged(spark, sf_dir, "raw"))
         _tables[key] = stage(made, name)
@@ -615,6 +617,55 @@ def label_leverage_sketch(three):
     return rules.label_leverage_sketch(three).select(S.KEY, "short_term_leverage", "risk")
 
 
+# The limits of the rule tables lie outside the figures of these tables, so the queries above find few
+# rows in their lower classes.  On percent ranks, or by a quorum of the tests, each rule meets rows.
+BAND_QUORUM, DOMAIN_QUORUM, SCALED_QUORUM, ROW_QUORUM = 6, 3, 3, 14
+
+
+def fractions(ranks: DataFrame) -> DataFrame:
+    return ranks.select(S.KEY, *[(column(c) / 100).alias(c) for c in rules.RULE_COLUMNS])
+
+
+@query("three_class", 6)
+def percent_ranks(three):
+    return rules.ranked(three, S.FEATURES_THREE_CLASS)
+
+
+@query("ranks")
+def label_risk_category_ranked(ranks):
+    return rules.label_risk_category(ranks, BAND_QUORUM).select(S.KEY, "risk_category")
+
+
+@query("ranks")
+def label_risk_num_ranked(ranks):
+    return rules.label_risk_num(rules.label_risk_category(ranks, BAND_QUORUM)).select(S.KEY, "risk_category", "risk_num")
+
+
+@query("ranks")
+def label_high_explicit_ranked(ranks):
+    return rules.label_high_explicit(ranks, BAND_QUORUM).select(S.KEY, "risk_category", "matched_rule")
+
+
+@query("ranks")
+def label_fraction_thresholds_ranked(ranks):
+    return rules.label_fraction_thresholds(fractions(ranks), BAND_QUORUM).select(S.KEY, "Risk_Level")
+
+
+@query("ranks")
+def label_rank_row(ranks):
+    return rules.label_rank_row(ranks, quorum=ROW_QUORUM).select(S.KEY, "Risk_Level")
+
+
+@query("ranks")
+def label_rank_column(ranks):
+    return rules.label_rank_column(ranks).select(S.KEY, *[f"{c}_Risk_Level" for c in S.FEATURES_THREE_CLASS])
+
+
+_label_query("label_percentile_quorum", lambda d: rules.label_percentile(d, BAND_QUORUM), ["risk"])
+_label_query("label_domain_thresholds_quorum", lambda d: rules.label_domain_thresholds(d, DOMAIN_QUORUM), ["risk"])
+_label_query("label_scaled_max_quorum", lambda d: rules.label_scaled_sum(d, SCALED_QUORUM, F.max), ["Risk_Level"])
+
+
 # --- feature preparation ---------------------------------------------------------------------------
 @query("canonical", 4)
 def assemble_features(clean):
@@ -707,6 +758,16 @@ def logreg_multinomial(clean):
     return models.scored(models.fit_multinomial(data, "risk_num"), models.part(data, "test"), "risk_num")
 
 
+@query(digits=6)
+def logreg_multinomial_risk_num(spark, sf_dir):
+    """The three-class model on the ranked risk number, scored on train and test rows."""
+    ranks = staged(spark, sf_dir, "ranks")
+    labels = rules.label_risk_num(rules.label_risk_category(ranks, BAND_QUORUM)).select(S.KEY, "risk_num")
+    rows = staged(spark, sf_dir, "three_class").drop("risk", "risk_num").join(labels, S.KEY)
+    data = models.prepared(rows, S.FEATURES_THREE_CLASS, "risk_num")
+    return models.split_report(models.fit_multinomial(data, "risk_num"), data, "risk_num")
+
+
 @query("canonical", 4)
 def logreg_coefficients(clean):
     features = [c for c in S.FEATURES if c != "CR_Rating_score"]

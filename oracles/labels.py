@@ -16,11 +16,14 @@ SCORES = ["CR_Rating_score", "pmt_discipline_score"]
 COLUMNS = MEASURES + SCORES
 
 
-def _all(tests) -> str:
-    return " AND ".join(tests)
+def held(tests, quorum: int | None = None) -> str:
+    """All the tests hold, or at least ``quorum`` of them."""
+    if quorum is None:
+        return " AND ".join(tests)
+    return "(" + " + ".join(f"CASE WHEN {t} THEN 1 ELSE 0 END" for t in tests) + f") >= {quorum}"
 
 
-def band_tests(limits, level: str, exposure_high=None) -> str:
+def band_tests(limits, level: str, exposure_high=None, quorum=None) -> str:
     """Condition that every rule column lies above, in or below its band."""
     tests = []
     for c in COLUMNS:
@@ -33,11 +36,12 @@ def band_tests(limits, level: str, exposure_high=None) -> str:
             tests.append(f'"{c}" > {exposure_high}')
         else:
             tests.append(f'"{c}" < {low}')
-    return _all(tests)
+    return held(tests, quorum)
 
 
-def banded(limits, names, otherwise: str | None, exposure_high=None) -> str:
-    cases = f"WHEN {band_tests(limits, 'low')} THEN '{names[0]}' WHEN {band_tests(limits, 'medium')} THEN '{names[1]}' "
+def banded(limits, names, otherwise: str | None, exposure_high=None, quorum=None) -> str:
+    low, medium = (band_tests(limits, level, quorum=quorum) for level in ("low", "medium"))
+    cases = f"WHEN {low} THEN '{names[0]}' WHEN {medium} THEN '{names[1]}' "
     if exposure_high is not None:
-        cases += f"WHEN {band_tests(limits, 'high', exposure_high)} THEN '{names[2]}' "
+        cases += f"WHEN {band_tests(limits, 'high', exposure_high, quorum)} THEN '{names[2]}' "
     return f"CASE {cases} ELSE {'NULL' if otherwise is None else repr(otherwise)} END"

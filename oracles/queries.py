@@ -602,7 +602,7 @@ three(
 )
 
 
-def scaled(level: str) -> str:
+def scaled(level: str, quorum: int | None = None) -> str:
     tests = []
     for c in L.COLUMNS:
         low, high = FRACTION[1] if c in L.SCORES else FRACTION[0]
@@ -613,7 +613,7 @@ def scaled(level: str) -> str:
             tests.append(f"{q(c)} BETWEEN {low} * {t} AND {high} * {t}")
         else:
             tests.append(f"{q(c)} < {low} * {t}")
-    return " AND ".join(tests)
+    return L.held(tests, quorum)
 
 
 three(
@@ -625,7 +625,7 @@ three(
 )
 
 
-def percentile_rule(level: str) -> str:
+def percentile_rule(level: str, quorum: int | None = None) -> str:
     tests = []
     for c in L.COLUMNS:
         low, high = (0.5, 0.75) if c in L.SCORES else (0.25, 0.5)
@@ -634,7 +634,7 @@ def percentile_rule(level: str) -> str:
             tests.append(f"{q(c)} >= {cut[high]}")
         else:
             tests.append(f"{q(c)} BETWEEN {cut[low]} AND {cut[high]}")
-    return " AND ".join(tests)
+    return L.held(tests, quorum)
 
 
 three(
@@ -643,6 +643,76 @@ three(
     f"WHEN {percentile_rule('medium')} THEN 'Medium' END AS risk FROM three",
 )
 
+# --- the same rule tables on percent ranks, or by a quorum of their tests
+RANKS = (
+    "(SELECT contract_id, "
+    + ", ".join(
+        f"100e0 * (rank() OVER (ORDER BY {q(c)}) - 1) / (count({q(c)}) OVER () - 1) AS {q(c)}" for c in S.FEATURES_THREE_CLASS
+    )
+    + " FROM three)"
+)
+PARTS = "(SELECT contract_id, " + ", ".join(f"{q(c)} / 100 AS {q(c)}" for c in L.COLUMNS) + f" FROM {RANKS})"
+three("percent_ranks", f"SELECT contract_id, {rnds(S.FEATURES_THREE_CLASS, 6)} FROM {RANKS}")
+_ranked = L.banded(PERCENT, ("Low", "Medium", "High"), "High", quorum=6)
+three("label_risk_category_ranked", f"SELECT contract_id, {_ranked} AS risk_category FROM {RANKS}")
+three(
+    "label_risk_num_ranked",
+    "SELECT *, CASE risk_category WHEN 'Low' THEN 0 WHEN 'Medium' THEN 1 ELSE 2 END AS risk_num "
+    f"FROM (SELECT contract_id, {_ranked} AS risk_category FROM {RANKS})",
+)
+three(
+    "label_high_explicit_ranked",
+    "SELECT contract_id, matched_rule, coalesce(matched_rule, 'High') AS risk_category FROM (SELECT contract_id, "
+    f"{L.banded(PERCENT, ('Low', 'Medium', 'High'), None, 50, 6)} AS matched_rule FROM {RANKS})",
+)
+three(
+    "label_fraction_thresholds_ranked",
+    f'SELECT contract_id, {L.banded(FRACTION, LEVELS, "Unknown", 0.25, 6)} AS "Risk_Level" FROM {PARTS}',
+)
+
+
+def rank_level(names, quorum=None) -> str:
+    tests = {
+        "Low Risk": [f"{q(c)} > 50" for c in names],
+        "Medium Risk": [f"{q(c)} BETWEEN 25 AND 50" for c in names],
+        "High Risk": [f"{q(c)} < 25" for c in names],
+    }
+    return "CASE " + " ".join(f"WHEN {L.held(t, quorum)} THEN '{level}'" for level, t in tests.items()) + " ELSE 'Unknown' END"
+
+
+three("label_rank_row", f'SELECT contract_id, {rank_level(S.FEATURES_THREE_CLASS, 14)} AS "Risk_Level" FROM {RANKS}')
+three(
+    "label_rank_column",
+    "SELECT contract_id, "
+    + ", ".join(f"{rank_level([c])} AS {q(c + '_Risk_Level')}" for c in S.FEATURES_THREE_CLASS)
+    + f" FROM {RANKS}",
+)
+three(
+    "label_percentile_quorum",
+    f"SELECT contract_id, CASE WHEN {percentile_rule('low', 6)} THEN 'Low' "
+    f"WHEN {percentile_rule('medium', 6)} THEN 'Medium' END AS risk FROM three",
+)
+_low = [
+    '"CR_Rating_score" > 75', "pmt_discipline_score > 75", "debt_equity_ratio < 0.5", "debt_asset_ratio < 0.1",
+    "interest_cov_ratio > 5", "current_ratio > 2", "return_on_assets > 0.1", "debt_ser_cov_ratio > 1.5",
+]
+_medium = [
+    '"CR_Rating_score" BETWEEN 50 AND 75', "pmt_discipline_score BETWEEN 50 AND 75", "debt_equity_ratio BETWEEN 0.5 AND 1.0",
+    "debt_asset_ratio BETWEEN 0.1 AND 0.25", "interest_cov_ratio BETWEEN 3 AND 5", "current_ratio BETWEEN 1.5 AND 2",
+    "return_on_assets BETWEEN 0.05 AND 0.1", "debt_ser_cov_ratio BETWEEN 1.2 AND 1.5",
+]
+three(
+    "label_domain_thresholds_quorum",
+    f"SELECT contract_id, CASE WHEN {L.held(_low, 3)} THEN 'low' WHEN {L.held(_medium, 3)} THEN 'medium' ELSE 'high' END AS risk FROM three",
+)
+three(
+    "label_scaled_max_quorum",
+    f"SELECT contract_id, CASE WHEN {scaled('low', 3)} THEN 'Low Risk' WHEN {scaled('medium', 3)} THEN 'Medium Risk' "
+    f"WHEN {scaled('high', 3)} THEN 'High Risk' ELSE 'Unknown' END AS \"Risk_Level\" FROM (SELECT *, "
+    + ", ".join(f"max({q(c)}) OVER () AS {q('t ' + c)}" for c in L.COLUMNS)
+    + " FROM three)",
+)
+
 # --- feature preparation --------------------------------------------------------------------------------------------
 clean("assemble_features", f"SELECT contract_id, {rnds([c for c in _doubles], 4)}, "
       + ", ".join(f"CAST({q(c)} AS DOUBLE) AS {q(c)}" for c in S.SCORES) + " FROM clean")
