@@ -3,7 +3,7 @@
 A scored frame holds a label, a hard prediction and a score for class 1.  All
 class metrics come from one confusion count, all curves from one count per
 distinct score.  ``by`` names columns such as model and split, to evaluate several in
-one pass; there is one row of totals per group, which every executor holds.
+one pass.  Labels other than 0 and 1 take no part in curves.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.operators.ordering import running_totals
+from ledgerline.sources.staging import stage
 
 LABEL, PREDICTION, SCORE = "label", "prediction", "score"
 
@@ -155,15 +156,15 @@ def score_counts(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def _curve(scored: DataFrame, by: Sequence[str], ranges: int | None, carry: Sequence[str] = ()) -> DataFrame:
-    """Counts at and above each distinct score, with the group totals P and N."""
-    counts = score_counts(scored, by)
+    """Counts at and above each distinct score, with the group totals P and N.
+
+    The scored rows are read once, for a written table of counts that all later steps read.
+    """
+    counts = stage(score_counts(scored, by).filter("pos + neg > 0"), "score-counts")
     summed = running_totals(counts, SCORE, ["pos", "neg"], by, descending=True, ranges=ranges, carry=carry)
-    totals = scored.groupBy(*by).agg(
-        F.count_if(F.col(LABEL) == 1).cast("double").alias("P"),
-        F.count_if(F.col(LABEL) == 0).cast("double").alias("N"),
-    )
+    totals = counts.groupBy(*by).agg(F.sum("pos").cast("double").alias("P"), F.sum("neg").cast("double").alias("N"))
     if by:
-        return summed.join(F.broadcast(totals), list(by))  # one row per group
+        return summed.join(totals, list(by))
     row = totals.select(F.struct("P", "N")).scalar()
     return summed.withColumn("_t", row).select(
         *summed.columns, F.col("_t.P").alias("P"), F.col("_t.N").alias("N")
@@ -176,25 +177,38 @@ def roc_curve(
     """(threshold, fpr, tpr), from (0, 0) with a null threshold downwards.
 
     ``drop_collinear`` leaves out a threshold when the step to the next one adds
-    the same counts again, as such a point lies on a straight line.
+    the same counts again, as such a point lies on a straight line.  The row of
+    (0, 0) comes with the highest score, so a group without rows has no curve.
     """
     by = list(by)
     points = _curve(scored, by, ranges, carry=["pos", "neg"] if drop_collinear else [])
+    first = (F.col("cum_pos") == F.col("pos")) & (F.col("cum_neg") == F.col("neg"))
     if drop_collinear:
-        first = (F.col("cum_pos") == F.col("pos")) & (F.col("cum_neg") == F.col("neg"))
         last = F.col("next_pos").isNull()
         turns = (F.col("next_pos") != F.col("pos")) | (F.col("next_neg") != F.col("neg"))
         points = points.filter(first | last | turns)
-    curve = points.select(
-        *by,
-        F.col(SCORE).alias("threshold"),
+    here = F.struct(
+        F.col(SCORE).cast("double").alias("threshold"),
         F.try_divide(F.col("cum_neg"), F.col("N")).alias("fpr"),
         F.try_divide(F.col("cum_pos"), F.col("P")).alias("tpr"),
     )
-    origin = scored.groupBy(*by).agg(
-        F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
-    )
-    return curve.unionByName(origin)
+    origin = F.struct(F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+    rows = F.explode(F.when(first, F.array(origin, here)).otherwise(F.array(here)))
+    return points.select(*by, rows.alias("_point")).select(*by, "_point.*")
+
+
+def roc_auc_trapezoid(scored: DataFrame, by: Sequence[str] = (), *, ranges: int | None = None) -> DataFrame:
+    """Area under the ROC curve from the curve's own points, each joined to the next one below it.
+
+    The points are written first.  ``auc_roc`` computes the same area from counts.
+    """
+    by = list(by)
+    # along the curve at least one axis grows with every point, so that their sum orders the points
+    curve = roc_curve(scored, by, ranges=ranges).drop("threshold")
+    points = stage(curve.withColumn("along", F.col("fpr") + F.col("tpr")), "roc-points")
+    steps = running_totals(points, "along", [], by, ranges=ranges, carry=["fpr", "tpr"])
+    area = (F.col("next_fpr") - F.col("fpr")) * (F.col("next_tpr") + F.col("tpr")) / 2
+    return steps.groupBy(*by).agg(F.sum(area).alias("auc_roc"))
 
 
 def auc_roc(scored: DataFrame, by: Sequence[str] = (), *, ranges: int | None = None) -> DataFrame:

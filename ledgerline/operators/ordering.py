@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline.functions.sketches import sketch_columns, sketch_quantiles
 from ledgerline.sources.staging import stage
@@ -28,12 +29,16 @@ def add_range(df: DataFrame, order: str, ranges: int | None = None) -> DataFrame
     """Number of the value range that ``order`` falls into, 0 for the smallest.
 
     The cut points are numbers on the driver, at most ``ranges`` of them, so
-    every use of the result sees the same ranges.
+    every use of the result sees the same ranges.  Texts, dates and other values
+    that are no numbers are parted by Spark's range exchange and written once
+    with the number of their part.
     """
     ranges = ranges or default_ranges(df)
+    if not isinstance(df.schema[order].dataType, T.NumericType):
+        return stage(df.repartitionByRange(ranges, order).withColumn(RANGE, F.spark_partition_id()), "ranges")
     probs = [i / ranges for i in range(1, ranges)]
     found = sketch_quantiles(df, [], order, probs).first()
-    cuts = sorted(set(found["cuts"] or [])) if found else []
+    cuts = sorted({c for c in found["cuts"] or [] if math.isfinite(c)}) if found else []
     if not cuts:
         return df.withColumn(RANGE, F.lit(0))
     buckets = Bucketizer(

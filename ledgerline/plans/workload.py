@@ -876,7 +876,7 @@ def _evaluation(name: str, function, digits: int | None = 6, frame=scorecard):
 
 _evaluation("auc_roc", evaluate.auc_roc)
 _evaluation("auc_pr", evaluate.auc_pr)
-_evaluation("roc_auc_trapezoid", evaluate.auc_roc)
+_evaluation("roc_auc_trapezoid", evaluate.roc_auc_trapezoid)
 _evaluation("roc_curve", evaluate.roc_curve)
 _evaluation("accuracy", lambda d: evaluate.class_metric(d, "accuracy"))
 _evaluation("weighted_precision", lambda d: evaluate.class_metric(d, "weighted_precision"))

@@ -802,7 +802,6 @@ _steps = (
     "coalesce(lag(CAST(tp AS DOUBLE) / (tp + fp)) OVER (ORDER BY rn), CAST(tp AS DOUBLE) / (tp + fp)) AS prec0 FROM cum) "
 )
 SQL["auc_roc"] = more("clean", _steps + f"SELECT {rnd('sum((fpr - fpr0) * (tpr + tpr0) / 2)', 6, 'auc_roc')} FROM steps")
-SQL["roc_auc_trapezoid"] = SQL["auc_roc"]
 SQL["auc_pr"] = more("clean", _steps + f"SELECT {rnd('sum((tpr - tpr0) * (prec + prec0) / 2)', 6, 'auc_pr')} FROM steps")
 SQL["roc_curve"] = more(
     "clean",
@@ -811,6 +810,14 @@ SQL["roc_curve"] = more(
     f"{rnd('CAST(tp AS DOUBLE) / p', 6, 'tpr')} FROM cum "
     "WHERE rn = 1 OR next_pos IS NULL OR next_pos <> pos OR next_neg <> neg UNION ALL SELECT NULL, 0e0, 0e0",
 )
+SQL["roc_auc_trapezoid"] = more(
+    "clean",
+    CURVE
+    + ", points AS (SELECT rn, CAST(fp AS DOUBLE) / n AS x, CAST(tp AS DOUBLE) / p AS y FROM cum "
+    "WHERE rn = 1 OR next_pos IS NULL OR next_pos <> pos OR next_neg <> neg UNION ALL SELECT 0, 0e0, 0e0), "
+    "steps AS (SELECT x, y, lead(x) OVER (ORDER BY rn) AS x1, lead(y) OVER (ORDER BY rn) AS y1 FROM points) "
+    f"SELECT {rnd('sum((x1 - x) * (y1 + y) / 2)', 6, 'auc_roc')} FROM steps",
+)
 CLASSES = (
     ", cls AS (SELECT label AS class FROM scored UNION SELECT prediction FROM scored), "
     "per_class AS (SELECT class, "

@@ -178,6 +178,7 @@ def test_exact_areas_with_ties(spark):
     want = sum(1.0 if a > b else 0.5 if a == b else 0.0 for a, b in pairs) / len(pairs)
     for ranges in (2, 3, 8):
         assert evaluate.auc_roc(scored, ranges=ranges).first()[0] == pytest.approx(want)
+        assert evaluate.roc_auc_trapezoid(scored, ranges=ranges).first()[0] == pytest.approx(want)
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
 
     library = BinaryClassificationEvaluator(rawPredictionCol="score", metricName="areaUnderPR").evaluate(
@@ -189,6 +190,7 @@ def test_exact_areas_with_ties(spark):
 def test_one_class_only_has_no_area(spark):
     scored = spark.createDataFrame([(1, 0.5), (1, 0.7)], "label int, score double")
     assert evaluate.auc_roc(scored).first()[0] is None
+    assert evaluate.roc_auc_trapezoid(scored).first()[0] is None
     assert evaluate.binary_rates(scored.withColumn("prediction", F.lit(0))).first()["fpr"] is None
 
 
@@ -200,6 +202,28 @@ def test_roc_curve_drops_only_points_on_a_line(spark):
     assert evaluate.roc_curve(scored, drop_collinear=False).count() == 7
 
 
+def test_curves_by_group_with_infinite_scores_and_foreign_labels(spark):
+    rows = [("a", 1, float("inf")), ("a", 0, 0.3), ("a", 1, 0.2), ("a", 7, 9e9), ("b", 0, 0.5), ("b", 1, float("-inf"))]
+    scored = spark.createDataFrame(rows, "model string, label int, score double")
+    for area in (evaluate.auc_roc, evaluate.roc_auc_trapezoid):
+        assert {r["model"]: r["auc_roc"] for r in area(scored, ["model"]).collect()} == {"a": 0.5, "b": 0.0}
+    curve = evaluate.roc_curve(scored, ["model"]).collect()
+    assert sorted((r["fpr"], r["tpr"]) for r in curve if r["model"] == "a") == [(0, 0), (0, 0.5), (1, 0.5), (1, 1)]
+    assert sum(r["threshold"] is None for r in curve) == 2
+
+
+def test_a_curve_reads_its_input_once(spark):
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(50).selectExpr("CAST(id % 2 AS INT) AS label", "CAST(id AS DOUBLE) AS score")
+    evaluate.roc_auc_trapezoid(rows.mapInArrow(seen, rows.schema)).collect()
+    assert reads.value == 50
+
 def test_quantile_of_empty_frame(spark):
     assert exact_quantiles(spark.createDataFrame([], "x double"), ["x"], [0.5]).count() == 0
 

@@ -88,3 +88,17 @@ def test_hash_split_is_complete_and_repeatable(clean):
 def test_hash_split_takes_large_keys(spark):
     df = spark.createDataFrame([(2**62,), (0,), (5_000_000_000,)], "contract_id bigint")
     assert split_hash(df).count() == 3
+
+
+@pytest.mark.parametrize("kind", ["string", "date"])
+def test_keys_that_are_no_numbers(spark, kind):
+    made = F.concat(F.lit("customer-"), F.lpad("id", 5, "0")) if kind == "string" else F.date_add(F.lit("2001-01-01").cast("date"), F.col("id").cast("int"))
+    df = spark.range(600).select(made.alias("contract_id"), (F.col("id") % 3 == 0).cast("int").alias("target_variable"), "id")
+    numbered = {r["id"]: r["row_number"] for r in row_numbers(df, "contract_id", ranges=7).collect()}
+    assert numbered == {i: i + 1 for i in range(600)}
+    down = running_totals(df, "contract_id", ["id"], descending=True, ranges=5, carry=["id"]).collect()
+    assert {r["id"]: (r["cum_id"], r["next_id"]) for r in down} == {
+        i: (sum(range(i, 600)), i - 1 if i else None) for i in range(600)
+    }
+    sizes = cv_folds(df).groupBy("target_variable", "fold").count().collect()
+    assert len(sizes) == 10 and all(r["count"] in (40, 80) for r in sizes)
