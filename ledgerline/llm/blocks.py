@@ -19,8 +19,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.spans import U64, give_back, pieces, running, span_hashes, text_bytes, word_ranges
+from ledgerline.operators.ordering import running_totals
+from ledgerline.sources.staging import stage
 
 BLOCK_BYTES = 4 << 20
+ROW_BYTES = 16  # that a row counts for beside its text
 PART_BYTES = 16 << 20  # of text for each key range
 
 
@@ -35,32 +38,41 @@ class Blocked:
 def blocked(
     docs: DataFrame, block_bytes: int = BLOCK_BYTES, part_bytes: int = PART_BYTES, carry: Sequence[str] = ()
 ) -> Blocked:
-    """Deal documents into ranges of ids with about equal numbers of documents.
+    """Deal documents into ranges of ids with about equal numbers of bytes.
 
-    Equal ids share a block.  Rows without an id form block -1.  Columns of ``carry`` go
-    along as the fields of ``rest``.
+    A block begins where the running total of bytes in order of ids passes a multiple of
+    ``block_bytes``, so a stretch of long documents is cut into as many blocks as it needs.
+    Equal ids share a block.  Rows without an id take part in no comparison and are spread
+    over blocks with negative numbers.  Columns of ``carry`` go along as the fields of ``rest``.
     """
     rest = [F.struct(*[F.col(f"`{c}`") for c in carry]).alias("rest")] if carry else []
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *rest)
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    count = max(1, -(-size // block_bytes))
-    parts = max(1, -(-size // part_bytes))
+    length = F.coalesce(F.octet_length("text"), F.lit(0))
+    sizes = docs.groupBy("doc_id").agg(F.sum(length).alias("text_bytes"), F.sum(length + ROW_BYTES).alias("bytes"))
+    sizes = stage(sizes, "sizes")
+    nameless = F.when(F.col("doc_id").isNull(), F.col("bytes"))
+    whole = sizes.agg(F.sum("text_bytes").alias("text"), F.sum("bytes").alias("all"), F.sum(nameless).alias("null")).first()
+    parts = max(1, -(-(whole["text"] or 0) // part_bytes))
+    null_blocks = max(1, -(-(whole["null"] or 0) // block_bytes))
     cuts: list[float] = []
-    if count > 1:
-        shares = F.array(*[F.lit(i / count) for i in range(1, count)])
-        found = docs.agg(F.percentile_approx("doc_id", shares, F.lit(100 * count))).first()[0] or []
-        cuts = sorted({float(x) for x in found})
-    splits = [float("-inf"), *cuts, float("inf")]
-    if len(splits) > 2:
+    if (whole["all"] or 0) - (whole["null"] or 0) > block_bytes:
+        placed = running_totals(sizes.where("doc_id IS NOT NULL"), "doc_id", ["bytes"])
+        number = F.expr(f"(cum_bytes - bytes) div {block_bytes}")
+        firsts = placed.groupBy(number.alias("number")).agg(F.min("doc_id").alias("first")).collect()
+        cuts = sorted({float(row["first"]) for row in firsts})[1:]  # one number for each block
+    # which of its blocks a row without an id gets has no bearing on any result
+    spare = (-1 - F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(null_blocks))).cast("int")
+    if cuts:
         # a monotone map of ids to ranges, by binary search
+        splits = [float("-inf"), *cuts, float("inf")]
         dealt = Bucketizer(splits=splits, inputCol="at", outputCol="range", handleInvalid="keep").transform(
             docs.withColumn("at", F.col("doc_id").cast("double"))
         )
-        block = F.when(F.col("doc_id").isNull(), -1).otherwise(F.col("range")).cast("int")
+        block = F.when(F.col("doc_id").isNull(), spare).otherwise(F.col("range").cast("int"))
     else:
-        dealt, block = docs, F.when(F.col("doc_id").isNull(), -1).otherwise(0)
+        dealt, block = docs, F.when(F.col("doc_id").isNull(), spare).otherwise(0)
     dealt = dealt.select(block.alias("block"), "doc_id", "text", *["rest"] * bool(carry))
-    tasks = max(len(splits) - 1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    tasks = max(len(cuts) + null_blocks, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return Blocked(dealt.repartition(tasks, "block"), parts)
 
 
@@ -79,7 +91,7 @@ def block_texts(table: pa.Table) -> BlockTexts:
     table = table.drop_columns(["block"]).sort_by("doc_id").combine_chunks()
     ids = table.column("doc_id").combine_chunks() if table.num_rows else pa.array([], pa.int64())
     data, offsets = text_bytes(table.column("text"))
-    if ids.null_count:  # block -1: documents without an id have no order
+    if ids.null_count:  # a block below 0: documents without an id have no order
         rank = np.zeros(len(ids), np.int64)
     else:
         plain = ids.to_numpy()
