@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 
 from ledgerline import schema as S
-from ledgerline.sources.statements import SUM_COLUMNS, customer_sums
+from ledgerline.sources.statements import SUM_COLUMNS, customer_sums, order_sums
 
 ORDERS = "o_orderkey long, o_custkey long, o_orderpriority string, o_totalprice double, o_orderdate date"
 
@@ -29,3 +29,20 @@ def test_no_order_is_left_out(spark, span, lengths):
     for p, n in zip(S.PERIODS, lengths, strict=True):
         assert not n or row[f"{p}_end"] == end
         end -= n
+
+
+@pytest.mark.parametrize("years", [None, {"CP": 2000, "LP": 1999, "PBLP": 1998}])
+def test_orders_meet_by_customer_in_one_shuffle(spark, years):
+    orders = spark.createDataFrame([(1, 1, "2-HIGH", 1.0, dt.date(2000, 1, 1)), (2, 1, "odd", 2.0, dt.date(2000, 2, 1))], ORDERS)
+    lines = spark.createDataFrame(
+        [(1, 10.0, 0.1, 0.1, 2.0, "A", "F"), (1, 5.0, 0.1, 0.1, 2.0, "R", "O"), (2, 1.0, 0.1, 0.1, 2.0, "N", "O")],
+        "l_orderkey long, l_extendedprice double, l_discount double, l_tax double, l_quantity double, l_returnflag string, l_linestatus string",
+    )
+    sums = customer_sums(orders, order_sums(lines), years)
+    plan = sums._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and plan.count("hashpartitioning(o_custkey") == 1
+    # the lines go through one shuffle as they are, not as sums that are wider than a line
+    before = plan[plan.index("hashpartitioning(l_orderkey") :]
+    assert plan.count("hashpartitioning(l_orderkey") == 1 and "partial_sum" not in before
+    row = sums.first()
+    assert (row["n_lines"], row["CP_revenue"], row["total"], row["last_priority"]) == (3, 1000 * 90 + 500 * 90 + 100 * 90, 300, None)
