@@ -11,6 +11,7 @@ iteration over the rows.
 
 from __future__ import annotations
 
+import itertools
 import math
 
 import numpy as np
@@ -97,6 +98,15 @@ def cubic(spark: SparkSession, features: int) -> PipelineModel:
     return PipelineModel([expansion, weighted])
 
 
+def cubic_map(features: int):
+    """The features of ``cubic`` that have a weight, for blocks of rows."""
+    triples = list(itertools.combinations_with_replacement(range(features), DEGREE))
+    i, j, k = np.array(triples).T
+    orders = [math.factorial(DEGREE) / math.prod(math.factorial(t.count(x)) for x in set(t)) for t in triples]
+    weights = np.sqrt(np.array(orders) / features**DEGREE)
+    return lambda x: x[:, i] * x[:, j] * x[:, k] * weights
+
+
 def sigmoid_map(landmarks: np.ndarray):
     """Nystroem map for tanh(gamma x.y); the kernel may be indefinite, so magnitudes are used."""
     gamma = 1.0 / landmarks.shape[1]

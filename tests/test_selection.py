@@ -9,7 +9,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from ledgerline import schema as S
-from ledgerline.operators import joins, kernels, models, prepare, selection, synth
+from ledgerline.operators import hinge, joins, kernels, models, prepare, selection, synth
 
 
 @pytest.fixture(scope="module")
@@ -164,3 +164,33 @@ def test_frames_compared_column_by_column(spark):
     assert got["spread", "a"] == (2.0, 0.0, -2.0)
     assert got["share", "0"] == pytest.approx((200 / 3, 0.0, -200 / 3)) and got["share", "2"] == (0.0, 50.0, 50.0)
     assert got["share", "1"] == pytest.approx((100 / 3, 50.0, 50 - 100 / 3)) and len(got) == 7
+
+
+def test_minimise_finds_the_lowest_point():
+    curve = np.array([1.0, 30.0, 500.0])
+    fit = hinge.minimise(np.array([3.0, -2.0, 1.0]), 200, 1e-12)
+    x = next(fit)
+    with pytest.raises(StopIteration) as done:
+        while True:
+            x = fit.send((float(curve @ (x - 1) ** 2 + abs(x[0] - 1)), 2 * curve * (x - 1) + np.array([np.sign(x[0] - 1), 0, 0])))
+    assert np.allclose(done.value.value, 1, atol=1e-2)
+
+
+def test_cubic_map_is_that_of_the_transformer(spark):
+    x = np.random.default_rng(3).normal(size=(6, 5))
+    z = kernels.cubic_map(5)(x)
+    assert np.allclose(z @ z.T, (x @ x.T / 5) ** 3)
+
+
+def test_svms_of_all_folds_and_penalties_share_their_jobs(folded, spark):
+    spark.sparkContext.setJobGroup("svm-grid", "grid")
+    rows = selection.gridsearch_svm(folded, [0.01, 0.1, 1], ["linear"]).collect()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # a fit of each of the 15 models by itself took some hundred jobs for every model
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("svm-grid")) < 400
+    moments, penalty = selection.fold_moments(folded), selection._penalties(folded, [1])[1]
+    classifier = selection._svm("linear", S.LABEL)
+    fitted = [selection._fold_accuracies(folded, moments, classifier, [{classifier.regParam: penalty}], S.LABEL, f, None)[0] for f in range(2)]
+    maps = selection._fold_maps(folded, moments, "linear", None, 64)
+    got = hinge.accuracies(folded, maps, [penalty], S.LABEL, selection.SVM_TOLERANCE)
+    assert np.abs(got[:2, 0] - fitted).max() < 0.03 and [r["C"] for r in rows] == [0.01, 0.1, 1.0]
