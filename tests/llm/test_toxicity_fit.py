@@ -1,10 +1,12 @@
 """The toxicity network learns from all labelled rows, and its thresholds count all of them."""
 
+import re
+
 import numpy as np
 import pytest
 
 from ledgerline.llm import toxicity
-from ledgerline.llm.labelled import fold, labelled_rows
+from ledgerline.llm.labelled import fold, labelled_rows, perhaps_among
 from pyspark.sql import functions as F
 
 
@@ -56,3 +58,60 @@ def test_blocks_and_parameters_come_back(texts):
     params = [table, *net.filters, *net.shifts, net.out, np.full(1, 2, np.float32)]
     for a, b in zip(params, toxicity.unpacked(toxicity.packed(params), 3), strict=True):
         assert (a == b).all()
+
+
+def test_a_text_is_moved_once_to_its_block(spark, texts, monkeypatch, capsys):
+    made, write = {}, toxicity.stage
+    monkeypatch.setattr(toxicity, "stage", lambda df, label: write(made.setdefault(label, df), label))
+    rows = [(i, f"word{i % 5} and {'grim' if i % 2 else 'fine'}") for i in range(400)]
+    docs = texts([*rows, (9, "another text"), (9, "another text"), (None, "no id")])
+    labels = [*[(i, i % 2) for i in range(0, 400, 3)], (3, 0), (9999, 1), (None, 1), (5, None)]
+    labels = spark.createDataFrame(labels, "doc_id long, toxic int")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if there were many labels
+    try:
+        toxicity.fit(docs, labels, "toxic", 40)
+        capsys.readouterr()
+        made["labelled"].explain("formatted")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    moved = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", capsys.readouterr().out)
+    assert sum(bool(re.search(r"\btext#", columns)) for columns in moved) == 1
+    blocks = list(toxicity._opened(made["labelled"].toArrow().to_batches()))
+    assert len(blocks) > 1
+    found = labelled_rows(docs, labels, "toxic").collect()
+    assert sorted(y for b in blocks for y in b[4]) == sorted(r.label for r in found) and sum(r.doc_id == 9 for r in found) in (0, 3)
+
+
+def test_filter_of_ids_keeps_every_id(spark, monkeypatch):
+    ids, rows = spark.range(0, 9000, 3).toDF("doc_id"), spark.range(9000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
+    kept = perhaps_among(rows, ids)
+    assert kept.columns == ["doc_id", "text"] and kept.join(ids, "doc_id").count() == 3000 and kept.count() < 3100
+    monkeypatch.setattr("ledgerline.llm.labelled.FILTER_BITS", 64)
+    assert perhaps_among(rows, ids).count() == 9000
+
+
+def test_steps_are_those_of_dense_adam():
+    r = np.random.default_rng(8)
+    net, counts = toxicity.new_network(), r.integers(0, 30, 90)
+    local = r.integers(0, 200, (counts.sum(), 4)).astype(np.int32)
+    local[r.random(len(local)) < 0.2] = 500
+    labels, weight = r.integers(0, 2, 90), r.random(90).astype(np.float32)
+    start = [np.vstack([r.normal(0, 0.1, (500, toxicity.WIDTH)), np.zeros((1, toxicity.WIDTH))]).astype(np.float32)]
+    start += [*net.filters, *net.shifts, net.out, np.zeros(1, np.float32)]
+    params, found = ([p.copy() for p in start] for _ in range(2))
+    toxicity.take_steps(found, local, counts, labels, weight, 2, 5)
+    order, ends = np.random.default_rng(5), np.concatenate([[0], np.cumsum(counts)])
+    moments, step = [[np.zeros(p.shape), np.zeros(p.shape)] for p in params], 0
+    for _ in range(2):
+        turn = order.permutation(90)
+        for i in range(0, 90, toxicity.BATCH):
+            docs = turn[i : i + toxicity.BATCH]
+            mine = np.concatenate([local[ends[d] : ends[d + 1]] for d in docs])
+            grads = toxicity.gradients(net, params, mine, counts[docs], labels[docs], weight[docs] / len(docs))
+            grads[0][-1], step = 0, step + 1
+            for p, g, m in zip(params, grads, moments, strict=True):
+                m[0], m[1] = 0.9 * m[0] + 0.1 * g, 0.999 * m[1] + 0.001 * g * g
+                p -= toxicity.RATE * m[0] / (1 - 0.9**step) / (np.sqrt(m[1] / (1 - 0.999**step)) + 1e-8)
+    assert all(np.allclose(a, b, atol=2e-4) for a, b in zip(params, found, strict=True))
+    assert (found[0][200:] == start[0][200:]).all() and not (found[0][:200] == start[0][:200]).all()
