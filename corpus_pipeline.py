@@ -30,10 +30,10 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without their repeats, ``n_chars`` counted anew where a text was cut."""
-    cut = suffixes.remove_repeated_bytes(docs, carry=docs.columns)
+    cut = suffixes.remove_repeated_bytes(docs, carry=docs.columns, as_text=True)
     left = cut.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_bytes")))
     changed = F.col("n_removed") > 0
-    text = F.when(changed, suffixes.kept_text(F.when(changed, F.col("kept")))).otherwise(F.col("rest.text"))
+    text = F.when(changed, F.col("kept_text")).otherwise(F.col("rest.text"))
     columns = []
     for name in docs.columns:
         own = F.col(f"rest.`{name}`")

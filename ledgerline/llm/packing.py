@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.blocks import binary_column
+from ledgerline.llm.spans import giving_back
 from ledgerline.llm.tokens import encoder
 
 CAPACITY = 2048
@@ -164,4 +165,4 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int = 1, capacity: int = CAPA
             yield _table(rows, pa.int64())
 
     wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return wanted.mapInArrow(run, OUT)
+    return wanted.mapInArrow(giving_back(run), OUT)

@@ -23,7 +23,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.blocks import BlockTexts, answers, binary_column, blocked, covered, per_block, per_part, runs
@@ -164,7 +164,13 @@ def _partial_windows(texts: BlockTexts, flags: np.ndarray, width: int, gram: int
     return (begin, n, whole), np.concatenate(at), np.concatenate(rows), np.concatenate(hashes)
 
 
-def _remove(texts: BlockTexts, units: np.ndarray, windows: np.ndarray, width: int, gram: int) -> pa.Table:
+def kept_text(kept: pa.Array, changed: np.ndarray) -> pa.Array:
+    """Kept bytes of changed rows as text, null for others; parts of characters that a cut has split are dropped."""
+    # a lead byte without all of its trailing bytes, or trailing bytes without a lead
+    return pa.array([kept[i].as_py().decode("utf-8", "ignore") if c else None for i, c in enumerate(changed)], pa.string())
+
+
+def _remove(texts: BlockTexts, units: np.ndarray, windows: np.ndarray, width: int, gram: int, as_text: bool) -> pa.Table:
     (begin, n, whole), at, rank, keys = _partial_windows(texts, units, width, gram)
     _, index, inverse = np.unique(keys, return_index=True, return_inverse=True)
     seen = (windows[inverse] > 0) | (rank > rank[index][inverse]) if len(keys) else np.zeros(0, bool)
@@ -194,10 +200,14 @@ def _remove(texts: BlockTexts, units: np.ndarray, windows: np.ndarray, width: in
         "spans": pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(per_doc)]), pa.int32()), spans),
         "kept": binary_column(texts.data[~gone], lengths - removed),
     }
+    if as_text:
+        columns["kept_text"] = kept_text(columns["kept"], removed > 0)
     return pa.table(columns if texts.rest is None else columns | {"rest": texts.rest})
 
 
-def remove_repeated_bytes(docs: DataFrame, width: int = 50, gram: int = GRAM, carry: Sequence[str] = ()) -> DataFrame:
+def remove_repeated_bytes(
+    docs: DataFrame, width: int = 50, gram: int = GRAM, carry: Sequence[str] = (), as_text: bool = False
+) -> DataFrame:
     """Cut every byte covered by a ``width``-byte string that also starts in a smaller doc_id.
 
     One row for each row of ``docs``: ``doc_id, n_bytes, n_removed``, the removed ``spans``
@@ -205,7 +215,9 @@ def remove_repeated_bytes(docs: DataFrame, width: int = 50, gram: int = GRAM, ca
     strings never cross documents and are judged on the input.  Rows with equal doc_id
     don't count as earlier than each other; a null doc_id takes no part and keeps all its
     bytes; columns of ``carry`` come back as the fields of ``rest``, others are ignored; an
-    empty table gives no rows.
+    empty table gives no rows.  ``as_text`` adds ``kept_text``: of rows that lost bytes, the
+    kept ones as text, made where they are cut, as a function of its own over the rows would
+    hold a second Python worker for each core.
     """
     if not 0 < gram <= width:
         raise ValueError("the anchor string must fit into the window")
@@ -234,19 +246,8 @@ def remove_repeated_bytes(docs: DataFrame, width: int = 50, gram: int = GRAM, ca
     def remove(block: int, texts: BlockTexts, back: pa.Table) -> pa.Table:
         kind = back.column("kind").to_numpy()
         first, second = (answers(back.filter(pa.array(kind == x))) for x in (0, 1))
-        return _remove(texts, first, second, width, gram)
+        return _remove(texts, first, second, width, gram, as_text)
 
-    kind = f", rest {made.docs.schema['rest'].dataType.simpleString()}" if carry else ""
+    kind = ", kept_text string" if as_text else ""
+    kind += f", rest {made.docs.schema['rest'].dataType.simpleString()}" if carry else ""
     return with_answers(made, both, remove, OUT + kind)
-
-
-def kept_text(kept: Column) -> Column:
-    """Kept bytes as text; parts of characters that a cut has split are dropped."""
-
-    @F.arrow_udf("string")
-    def whole(column: pa.Array) -> pa.Array:
-        # a lead byte without all of its trailing bytes, or trailing bytes without a lead
-        texts = [None if b is None else b.decode("utf-8", "ignore") for b in column.to_pylist()]
-        return pa.array(texts, pa.string())
-
-    return whole(kept)

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm.blocks import binary_column
+from ledgerline.llm.spans import giving_back
 from ledgerline.llm.tokens import encoder
 from ledgerline.sources.staging import new_path, stage
 
@@ -72,7 +73,7 @@ def tokenized(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
             )
 
     wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return wanted.mapInArrow(run, "doc_id long, n_tokens long, ids binary")
+    return wanted.mapInArrow(giving_back(run), "doc_id long, n_tokens long, ids binary")
 
 
 def id_type(vocabulary_size: int) -> np.dtype:

@@ -62,3 +62,13 @@ def test_stages_match_brute_force(spark, sample):
     sizes = {d: len(plain.encode(t or "", add_special_tokens=False).ids) + 1 for d, t in pairs(safe)}
     got = {r.doc_id: r.n for r in packed.groupBy("doc_id").agg({"length": "sum"}).withColumnRenamed("sum(length)", "n").collect()}
     assert got == sizes
+
+
+def test_cut_texts_are_made_where_they_are_cut(spark, texts, capsys):
+    shared = "ä" * 40 + "b" * 30
+    docs = texts([(1, shared), (2, "é" + shared[5:] + " end"), (3, None), (4, shared), (None, shared)])
+    cut = corpus_pipeline.cut_repeats(spark, docs, SMALL)
+    cut.explain()
+    assert "EvalPython" not in capsys.readouterr().out  # a second Python worker for each core, beside the one that cuts
+    # no byte of a character that a cut has split is left
+    assert rows(cut) == rows(texts([(1, shared), (2, "é end"), (3, None), (None, shared)]))

@@ -1,8 +1,10 @@
 """The toxicity network learns from all labelled rows, and its thresholds count all of them."""
 
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ledgerline.llm import toxicity
@@ -115,3 +117,38 @@ def test_steps_are_those_of_dense_adam():
                 p -= toxicity.RATE * m[0] / (1 - 0.9**step) / (np.sqrt(m[1] / (1 - 0.999**step)) + 1e-8)
     assert all(np.allclose(a, b, atol=2e-4) for a, b in zip(params, found, strict=True))
     assert (found[0][200:] == start[0][200:]).all() and not (found[0][:200] == start[0][:200]).all()
+
+
+def test_different_rows_are_found_some_documents_at_a_time(texts):
+    r = np.random.default_rng(5)
+    docs = [" ".join(f"w{x}" for x in r.integers(0, 30_000, 20_000)) for _ in range(50)] + [None, "w1"]
+    column = pa.array(docs, pa.string())
+    kinds, words, counts = toxicity.distinct_rows(column)
+    every, n = toxicity.word_rows(column)
+    assert (kinds[words] == every).all() and (counts == n).all() and words.dtype == np.uint16
+    assert [tuple(x) for x in kinds] == sorted({tuple(x) for x in kinds})
+    size, names = len(docs), ("block", "doc_id", "mark")
+    table = pa.table({k: np.arange(size) * (k != "block") for k in names} | {"text": column, "lang": pa.nulls(size, pa.string())})
+    for k in ("label", "part"):
+        table = table.append_column(k, pa.array(np.zeros(size, np.int32)))
+    tracemalloc.start()
+    made = toxicity._block(table)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.array_equal(np.frombuffer(made["rows"][0].as_py(), np.int32).reshape(-1, 4), kinds)
+    assert np.array_equal(np.frombuffer(made["words"][0].as_py(), words.dtype), words)
+    assert peak < 60 * len(words)
+
+
+def test_blocks_reach_python_one_by_one(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["n"])
+
+    with toxicity.block_by_block(spark):
+        assert {r.n for r in spark.range(6).coalesce(1).mapInArrow(sizes, "n long").collect()} == {1}
+    assert spark.conf.get(name) == before
+    assert [r.n for r in spark.range(6).coalesce(1).mapInArrow(sizes, "n long").collect()] == [6]
