@@ -194,3 +194,29 @@ def test_svms_of_all_folds_and_penalties_share_their_jobs(folded, spark):
     maps = selection._fold_maps(folded, moments, "linear", None, 64)
     got = hinge.accuracies(folded, maps, [penalty], S.LABEL, selection.SVM_TOLERANCE)
     assert np.abs(got[:2, 0] - fitted).max() < 0.03 and [r["C"] for r in rows] == [0.01, 0.1, 1.0]
+
+
+def test_maps_work_in_the_precision_of_their_rows():
+    x = np.random.default_rng(3).normal(size=(40, 6))
+    for mapped in (kernels.rbf_map(6), kernels.cubic_map(6), kernels.sigmoid_map(x[:20])):
+        z = mapped(x.astype(np.float32))
+        assert z.dtype == np.float32 and mapped(x).dtype == float and np.allclose(z, mapped(x), atol=1e-4)
+
+
+def test_cubic_map_has_the_products_in_order():
+    x = np.random.default_rng(3).normal(size=(6, 4))
+    triples = [(i, j, k) for i in range(4) for j in range(i, 4) for k in range(j, 4)]
+    orders = [{1: 1, 2: 3, 3: 6}[len({*t})] for t in triples]
+    want = np.stack([x[:, i] * x[:, j] * x[:, k] for i, j, k in triples], axis=1) * np.sqrt(np.array(orders) / 4**3)
+    assert np.allclose(kernels.cubic_map(4)(x), want)
+
+
+@pytest.mark.parametrize("kernel", ["poly", "rbf"])
+def test_fits_in_single_precision_are_those_in_double(folded, monkeypatch, kernel):
+    maps = selection._fold_maps(folded, selection.fold_moments(folded), kernel, 128, 64)[:1]
+    got = []
+    for least in (0, 1 << 40):
+        monkeypatch.setattr(hinge, "SINGLE", least)
+        got.append(hinge.fits(folded, dict(enumerate(maps)), [0.01], S.LABEL, selection.SVM_TOLERANCE, 8)[0])
+    (single, shift), (double, offset) = got
+    assert np.allclose(single, double, atol=1e-3 * np.abs(double).max()) and np.allclose(shift, offset, atol=1e-3)
