@@ -9,6 +9,7 @@ done yet.  Rows are mapped some at a time and never kept.
 from __future__ import annotations
 
 from collections.abc import Callable, Generator, Iterator, Mapping, Sequence
+from typing import Protocol
 
 import numpy as np
 import pandas as pd
@@ -30,6 +31,16 @@ Point = tuple[float, np.ndarray]
 Rows = Callable[..., np.ndarray]  # of raw rows and, where not double, the kind of numbers to work with
 
 
+class Shared(Protocol):
+    """One map of raw rows of which the features of every fold are linear functions."""
+
+    def map(self, x: np.ndarray, kind: type) -> np.ndarray: ...
+
+    def lifted(self, fold: int, weights: np.ndarray) -> np.ndarray: ...
+
+    def lowered(self, fold: int, sums: np.ndarray) -> np.ndarray: ...
+
+
 def _direction(slope: np.ndarray, steps: list[np.ndarray], turns: list[np.ndarray]) -> np.ndarray:
     d, kept = -slope, []
     for s, y in zip(reversed(steps), reversed(turns), strict=True):
@@ -123,7 +134,7 @@ def _rows(data: DataFrame, label: str) -> DataFrame:
 
 def fits(
     data: DataFrame, maps: Mapping[int, Rows], penalties: Sequence[float], label: str, tolerance: float, limit: int = 100,
-    size: int = BLOCK,
+    size: int = BLOCK, shared: Shared | None = None,
 ) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """For each key of ``maps`` the weights (mapped features x penalties) and intercepts fitted without that fold.
 
@@ -131,7 +142,7 @@ def fits(
     fold leaves out nothing.  Loss: mean hinge loss plus half the penalty times the squared weights, the intercept
     free, as in Spark's ``LinearSVC``; steps are taken on centred columns of spread 1.  From ``SINGLE`` rows on
     rows are mapped ``size`` at a time in single precision, whose cosine and products are many times as fast; with fewer, rounding could
-    move an accuracy by a row that shows.  Rows are scaled and blocks added up in double precision either way.
+    move an accuracy by a row that shows.  ``shared`` stands for the maps of all folds in the steps.  Rows are scaled and blocks added up in double precision either way.
     """
     rows = _rows(data, label)
     parts, kind = rows.rdd.getNumPartitions(), np.float64 if rows.count() < SINGLE else np.float32
@@ -168,8 +179,9 @@ def fits(
                 found[f] = np.stack([w for w, _ in mine], axis=1), np.array([b for _, b in mine])
         return found
 
-    def evaluated(points):
-        models = {f: (weights.astype(kind), shift) for f, (weights, shift) in stacked(points).items()}
+    def apart(models):
+        """Losses, pulls and slopes of the models of each fold, on the fold's own map."""
+        models = {f: (weights.astype(kind), shift) for f, (weights, shift) in models.items()}
 
         def slopes(values, signs, fold):
             found = []
@@ -181,16 +193,37 @@ def fits(
             return np.concatenate(found)
 
         flat, at, found = _sums(rows, parts, slopes, size), 0, {}
-        for f in models:
-            mine, width = [key for key in points if key[0] == f], widths[f]
-            k = len(mine)
-            for i, key in enumerate(mine):
+        for f, (_, shift) in models.items():
+            k, width = len(shift), widths[f]
+            found[f] = flat[at : at + k], flat[at + k : at + 2 * k], flat[at + 2 * k : at + 2 * k + k * width].reshape(k, width)
+            at += 2 * k + k * width
+        return found
+
+    def together(models):
+        """The same of all folds on one map."""
+        owners = np.array([f for f, (_, shift) in models.items() for _ in shift])
+        weights = np.stack([shared.lifted(f, w) for f, (some, _) in models.items() for w in some.T], axis=1).astype(kind)
+        shifts, mapped = np.concatenate([shift for _, shift in models.values()]), shared.map
+
+        def slopes(values, signs, fold):
+            z, y = mapped(values, kind), signs[:, None]
+            short = np.where(fold[:, None] == owners, 0.0, 1 - y * (z @ weights + shifts))
+            pull = np.where(short > 0, -y, 0.0)
+            return np.concatenate([np.maximum(short, 0).sum(0), pull.sum(0), (z.T @ pull.astype(kind)).T.ravel()])
+
+        losses, pulls, sums = np.split(_sums(rows, parts, slopes, size), [len(owners), 2 * len(owners)])
+        sums = sums.reshape(len(owners), -1)
+        mine = {f: np.flatnonzero(owners == f) for f in models}
+        return {f: (losses[at], pulls[at], [shared.lowered(f, sums[i]) for i in at]) for f, at in mine.items()}
+
+    def evaluated(points):
+        found = {}
+        for f, sums in (together if shared is not None else apart)(stacked(points)).items():
+            for key, loss, pull, slope in zip([key for key in points if key[0] == f], *sums, strict=True):
                 x, (weights, _) = points[key], plain(f, points[key])
-                loss, pull = flat[at + i] / n[f], flat[at + k + i] / n[f]
-                start = at + 2 * k + i * width
-                slope = (flat[start : start + width] / n[f] - mean[f] * pull + penalties[key[1]] * weights) * inverse[f]
+                loss, pull = loss / n[f], pull / n[f]
+                slope = (slope / n[f] - mean[f] * pull + penalties[key[1]] * weights) * inverse[f]
                 found[key] = loss + penalties[key[1]] / 2 * (weights @ weights), np.append(slope, pull)
-            at += 2 * k + k * width
         return found
 
     steps = {(f, c): minimise(np.zeros(widths[f] + 1), limit, tolerance) for f in maps for c in range(len(penalties))}
@@ -206,10 +239,11 @@ def fits(
 
 
 def accuracies(
-    data: DataFrame, maps: Sequence[Rows], penalties: Sequence[float], label: str, tolerance: float, limit: int = 100, size: int = BLOCK
-) -> np.ndarray:
+    data: DataFrame, maps: Sequence[Rows], penalties: Sequence[float], label: str, tolerance: float, limit: int = 100,
+    size: int = BLOCK, shared: Shared | None = None,
+) -> np.ndarray:
     """Accuracy on each fold (rows) of the model fitted on the others (``fits``) for each penalty (columns)."""
-    models = fits(data, dict(enumerate(maps)), penalties, label, tolerance, limit, size)
+    models = fits(data, dict(enumerate(maps)), penalties, label, tolerance, limit, size, shared)
 
     def hits(values, signs, fold):
         found = []

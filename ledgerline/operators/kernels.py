@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import itertools
 import math
+from collections.abc import Mapping
 
 import numpy as np
 import pandas as pd
@@ -29,6 +30,7 @@ KERNELS = ("linear", "poly", "rbf", "sigmoid")
 DEGREE = 3
 RBF_ERROR = 0.1  # that the kernel may be off by
 WIDEST = 1 << 14  # random features, whatever the error
+ALIKE = 8  # times as wide or spreads off that folds may lie and still share a map
 BLOCKS = {"rbf": 96}  # rows mapped at once where a block made in one step is best kept in a core's cache
 
 
@@ -58,10 +60,12 @@ def rbf_map(features: int, width: int = 128, seed: int = 42):
     rng = np.random.default_rng(seed)
     weights = rng.normal(scale=np.sqrt(2.0 / features), size=(features, width))
     phase = rng.uniform(0.0, 2.0 * np.pi, size=width)
+    turns = {np.dtype(float): np.concatenate([weights, phase[None]])}
 
     def mapped(x: np.ndarray) -> np.ndarray:
-        z = x @ weights.astype(x.dtype)
-        z += phase.astype(x.dtype)
+        if x.dtype not in turns:
+            turns[x.dtype] = turns[np.dtype(float)].astype(x.dtype)
+        z = np.concatenate([x, np.ones((len(x), 1), x.dtype)], axis=1) @ turns[x.dtype]
         np.cos(z, out=z)
         z *= x.dtype.type(np.sqrt(2.0 / width))
         return z
@@ -135,6 +139,69 @@ def cubic_map(features: int):
     return mapped
 
 
+class CubicFolds:
+    """The cubic maps of differently scaled rows as linear functions of the map of rows that are scaled in common.
+
+    ``scales`` has a mean and the inverse of a spread for each fold, ``common`` those of all rows.  A fold's values
+    are an affine function of the common ones, so a product of three is a sum of products of the common values
+    and one.  Models of all folds are thus scored on one map.
+    """
+
+    def __init__(self, common: tuple[np.ndarray, np.ndarray], scales: Mapping[int, tuple[np.ndarray, np.ndarray]]):
+        self.mean, self.inverse = common
+        features = len(self.mean)
+        self.turns = {}
+        for f, (mean, inverse) in scales.items():
+            own = np.divide(inverse, self.inverse, out=np.zeros(features), where=self.inverse > 0)
+            self.turns[f] = np.concatenate([np.diag(own), ((self.mean - mean) * inverse)[:, None]], axis=1)
+        self.inner, self.outer = _Triples(features), _Triples(features + 1)
+        self.mapped = cubic_map(features + 1)
+
+    def alike(self) -> bool:
+        """Whether no fold is scaled so much otherwise that sums of the common products lose digits that matter."""
+        return max(np.abs(turn).max() for turn in self.turns.values()) < ALIKE
+
+    def map(self, x: np.ndarray, kind: type = float) -> np.ndarray:
+        scaled = (x - self.mean) * self.inverse
+        return self.mapped(np.concatenate([scaled, np.ones((len(x), 1))], axis=1).astype(kind, copy=False))
+
+    def lifted(self, fold: int, weights: np.ndarray) -> np.ndarray:
+        """Weights of common features that score as ``weights`` of the fold's features do."""
+        cube = self.inner.cube(weights * self.inner.sizes / self.inner.orders)
+        return self.outer.listed(_turned(cube, self.turns[fold].T)) * self.outer.orders / self.outer.sizes
+
+    def lowered(self, fold: int, sums: np.ndarray) -> np.ndarray:
+        """Sums of the fold's features from the same sums of common features."""
+        cube = self.outer.cube(sums / self.outer.sizes)
+        return self.inner.listed(_turned(cube, self.turns[fold])) * self.inner.sizes
+
+
+class _Triples:
+    """Values of triples in the order of ``cubic_map`` and as symmetric cubes."""
+
+    def __init__(self, features: int):
+        self.features = features
+        self.places = np.array(list(itertools.combinations_with_replacement(range(features), DEGREE))).T
+        self.at = np.zeros((features,) * DEGREE, int)
+        for order in itertools.permutations(range(DEGREE)):
+            self.at[tuple(self.places[list(order)])] = np.arange(self.places.shape[1])
+        self.orders = np.bincount(self.at.ravel())
+        self.sizes = np.sqrt(self.orders / features**DEGREE)  # what a feature of ``cubic_map`` has beside its product
+
+    def cube(self, values: np.ndarray) -> np.ndarray:
+        return values[self.at]
+
+    def listed(self, cube: np.ndarray) -> np.ndarray:
+        return cube[tuple(self.places)]
+
+
+def _turned(cube: np.ndarray, turn: np.ndarray) -> np.ndarray:
+    """The cube with ``turn`` applied along each of its sides."""
+    for _ in range(DEGREE):
+        cube = np.tensordot(cube, turn, axes=(0, 1))
+    return cube
+
+
 def sigmoid_map(landmarks: np.ndarray):
     """Nystroem map for tanh(gamma x.y); the kernel may be indefinite, so magnitudes are used."""
     gamma = 1.0 / landmarks.shape[1]

@@ -220,3 +220,48 @@ def test_fits_in_single_precision_are_those_in_double(folded, monkeypatch, kerne
         got.append(hinge.fits(folded, dict(enumerate(maps)), [0.01], S.LABEL, selection.SVM_TOLERANCE, 8)[0])
     (single, shift), (double, offset) = got
     assert np.allclose(single, double, atol=1e-3 * np.abs(double).max()) and np.allclose(shift, offset, atol=1e-3)
+
+
+def cubic_folds(x, parts):
+    scales = [(rows.mean(axis=0), selection._inverse(rows.std(axis=0, ddof=1))) for rows in (x, *parts)]
+    return kernels.CubicFolds(scales[0], dict(enumerate(scales[1:]))), scales[1:]
+
+
+def test_cubic_features_of_folds_are_sums_of_common_ones():
+    r = np.random.default_rng(5)
+    x = r.normal(size=(40, 4)) * [1, 5, 0, 0.1] + [3, 0, 7, -2]
+    shared, scales = cubic_folds(x, [x[:30], x[10:]])
+    z, pull = shared.map(x), r.normal(size=40)
+    assert shared.alike()
+    for f, (mean, inverse) in enumerate(scales):
+        own = kernels.cubic_map(4)((x - mean) * inverse)
+        weights = r.normal(size=own.shape[1])
+        assert np.allclose(own @ weights, z @ shared.lifted(f, weights))
+        assert np.allclose(own.T @ pull, shared.lowered(f, z.T @ pull))
+    x[0, 0] = 1e6  # a fold without this row is scaled quite otherwise
+    assert not cubic_folds(x, [x[:30], x[10:]])[0].alike()
+
+
+def test_steps_on_a_shared_map_are_those_on_maps_of_folds(folded):
+    moments = selection.fold_moments(folded)
+    maps, shared = dict(enumerate(selection._fold_maps(folded, moments, "poly", None, 64))), selection._cubic_folds(moments)
+    assert shared is not None
+    got, want = (hinge.fits(folded, maps, [0.01, 0.1], S.LABEL, selection.SVM_TOLERANCE, 3, shared=s) for s in (shared, None))
+    for f in maps:
+        assert np.allclose(got[f][0], want[f][0]) and np.allclose(got[f][1], want[f][1])
+
+
+@pytest.mark.parametrize("kernel", ["linear", "sigmoid"])
+def test_tuned_svm_is_fitted_like_those_of_the_grid(folded, spark, kernel):
+    spark.sparkContext.setJobGroup("svm-refit", "refit")
+    rows = selection.refitted_svm(folded, kernel, 1.0)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("svm-refit")) < 200
+    assert rows.columns == [S.KEY, "split", "label", "prediction"] and rows.count() == folded.count()
+    mapped = selection.feature_map(kernel)
+    fitted = selection.refitted(folded, selection._svm(kernel, S.LABEL), 1.0, S.LABEL, mapped).select(S.KEY, F.col("prediction").alias("other"))
+    share = rows.join(fitted, S.KEY).agg(F.avg((F.col("prediction") == F.col("other")).cast("double"))).first()[0]
+    assert share > 0.95
+    # test rows have no part in the fit
+    odd = folded.withColumn(S.LABEL, F.when(F.col("split") == "test", 1 - F.col(S.LABEL)).otherwise(F.col(S.LABEL)))
+    assert rows.select(S.KEY, "prediction").exceptAll(selection.refitted_svm(odd, kernel, 1.0).select(S.KEY, "prediction")).isEmpty()
