@@ -89,6 +89,12 @@ def rbf_width(features: int, error: float = RBF_ERROR, points: int = 64, seed: i
     return width
 
 
+def map_width(kernel: str, features: int, landmarks: int = 64) -> int:
+    """Features of a kernel's map, the most it can have for ``sigmoid``."""
+    widths = {"linear": lambda: features, "poly": lambda: math.comb(features + DEGREE - 1, DEGREE), "rbf": lambda: rbf_width(features)}
+    return widths[kernel]() if kernel in widths else landmarks
+
+
 def cubic(spark: SparkSession, features: int) -> PipelineModel:
     """Exact features of the kernel (x.y / features) ** 3: weighted products of three features.
 

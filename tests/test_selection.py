@@ -265,3 +265,29 @@ def test_tuned_svm_is_fitted_like_those_of_the_grid(folded, spark, kernel):
     # test rows have no part in the fit
     odd = folded.withColumn(S.LABEL, F.when(F.col("split") == "test", 1 - F.col(S.LABEL)).otherwise(F.col(S.LABEL)))
     assert rows.select(S.KEY, "prediction").exceptAll(selection.refitted_svm(odd, kernel, 1.0).select(S.KEY, "prediction")).isEmpty()
+
+
+@pytest.mark.parametrize("cached, taken", [(0, "steps"), (1 << 28, "library")])
+def test_tuned_svm_is_fitted_by_the_library_only_while_it_caches_little(folded, monkeypatch, cached, taken):
+    class Taken(Exception):
+        pass
+
+    def take(name):
+        def taken(*_):
+            raise Taken(name)
+
+        return taken
+
+    monkeypatch.setattr(selection, "CACHED", cached)
+    monkeypatch.setattr(selection, "gridsearch_svm", lambda data, *_: data.sparkSession.createDataFrame([("rbf", 1.0, 1.0, True)], "kernel string, C double, accuracy double, is_best boolean"))
+    monkeypatch.setattr(selection, "refitted_svm", take("steps"))
+    monkeypatch.setattr(selection, "refitted", take("library"))
+    with pytest.raises(Taken, match=taken):
+        selection.tuned_svm(folded)
+
+
+def test_widths_of_maps():
+    x = np.random.default_rng(3).normal(size=(80, 5))
+    for kernel, mapped in {"poly": kernels.cubic_map(5), "rbf": kernels.rbf_map(5, kernels.rbf_width(5))}.items():
+        assert mapped(x).shape[1] == kernels.map_width(kernel, 5)
+    assert kernels.sigmoid_map(x[:64])(x).shape[1] <= kernels.map_width("sigmoid", 5)
